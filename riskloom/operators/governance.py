@@ -18,6 +18,7 @@ ID_NAMES = (
     "id", "_id", "uuid", "guid", "row_id", "pk", "primary_key", "account_no", "customer_id",
     "loan_id", "contract_id", "application_id", "user_id", "member_id",
 )
+from riskloom.sources.scratch import small_table
 # Name parts that mark a date or time.
 DATE_WORDS = ("date", "dt", "time", "timestamp", "created", "updated", "modified", "birth", "inception", "maturity")
 # Lower-case names tried when no target is given.
@@ -113,7 +114,7 @@ def schema_classify(
     names; ``float_ids=False`` keeps near-unique fractional columns as numbers.
     """
     spark = df.sparkSession
-    meta = spark.createDataFrame(
+    meta = small_table(spark, 
         [
             (i, f.name, f.dataType.simpleString(), _type_class(f.dataType),
              isinstance(f.dataType, (T.FractionalType, T.DecimalType)))

@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from riskloom.functions.scalar import quoted
-from riskloom.sources.scratch import scratch_path
+from riskloom.sources.scratch import scratch_path, small_table
 
 # spark.sql.codegen.maxFields is 100: a select beyond it loses whole-stage codegen.
 AGGREGATES_PER_SELECT = 90
@@ -25,6 +25,9 @@ AGGREGATES_PER_SELECT = 90
 SMALL_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
 SUB_BUCKETS = 1024
+# Object hash aggregation falls back to sorting beyond 128 groups.
+SKETCH_GROUPS = 100
+MAX_LONG = 2**63 - 1
 
 
 def wide_aggregate(
@@ -129,49 +132,16 @@ class Ranked:
     equal: int
 
 
-def _brackets(
-    df: DataFrame,
-    ranks: Mapping[str, Sequence[int]],
-    counts: Mapping[str, int],
-    accuracy: int,
-) -> dict[str, list[tuple[Any, Any]]]:
-    """Disjoint closed intervals per column that hold the wanted ranks (from a sketch)."""
-    columns = [c for c in ranks if ranks[c]]
-    out: dict[str, list[tuple[Any, Any]]] = {}
-    per_select = max(1, AGGREGATES_PER_SELECT // 2)
-    for start in range(0, len(columns), per_select):
-        chunk = columns[start : start + per_select]
-        aggs = []
-        for i, c in enumerate(chunk):
-            n = counts[c]
-            slack = max(2.0 / accuracy, 3.0 / n)
-            probs = []
-            for r in ranks[c]:
-                p = r / n
-                probs += [max(0.0, p - slack), min(1.0, p + slack)]
-            aggs.append(
-                F.percentile_approx(quoted(c), F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"q{i}")
-            )
-        row = df.agg(*aggs).first()
-        for i, c in enumerate(chunk):
-            edges = row[f"q{i}"]
-            pairs = sorted((min(edges[j], edges[j + 1]), max(edges[j], edges[j + 1])) for j in range(0, len(edges), 2))
-            merged = [pairs[0]]
-            for lo, hi in pairs[1:]:
-                if lo <= merged[-1][1]:
-                    merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
-                else:
-                    merged.append((lo, hi))
-            out[c] = merged
-    return out
+def long_values(df: DataFrame, columns: Sequence[str], kind: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of (keep..., column, value) for the non-null values."""
+    return unpivot_typed(df, columns, kind, keep).where(F.col("value").isNotNull())
 
 
-def _cell(c: Column, intervals: Sequence[tuple[Any, Any]]) -> Column:
-    """0 before the first interval, 1 inside it, 2 after it and before the second, ..."""
-    out = None
-    for i, (lo, hi) in enumerate(intervals):
-        out = F.when(c < F.lit(lo), 2 * i) if out is None else out.when(c < F.lit(lo), 2 * i)
-        out = out.when(c <= F.lit(hi), 2 * i + 1)
+def number_families(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Numeric columns by the type they are compared in: integers stay exact, the rest is double."""
+    out: dict[str, list[str]] = {}
+    for kind, cols in type_families(df, columns).items():
+        out.setdefault("bigint" if kind == "bigint" else "double", []).extend(cols)
     return out
 
 
@@ -191,117 +161,162 @@ def order_statistics(
     whole range.  A rank its bracket misses is looked up over the whole range,
     so the result is exact whatever the sketch returned.
     """
+    found: dict[tuple[str, int], Ranked] = {}
+    for kind, cols in number_families(df, list(ranks)).items():
+        found.update(
+            long_order_statistics(
+                long_values(df, cols, kind), kind, {c: ranks[c] for c in cols}, counts, accuracy, small_rows
+            )
+        )
+    return found
+
+
+def long_order_statistics(
+    long: DataFrame,
+    kind: str,
+    ranks: Mapping[str, Sequence[int]],
+    counts: Mapping[str, int],
+    accuracy: int = SKETCH_ACCURACY,
+    small_rows: int = SMALL_ROWS,
+) -> dict[tuple[str, int], Ranked]:
+    """``order_statistics`` over rows of (column, value), value of type ``kind`` and never NULL."""
     ranks = {c: sorted({r for r in rs if 1 <= r <= counts[c]}) for c, rs in ranks.items()}
     ranks = {c: rs for c, rs in ranks.items() if rs}
     if not ranks:
         return {}
-    kinds = type_families(df, list(ranks))
-    found: dict[tuple[str, int], Ranked] = {}
-    for kind in kinds:
-        cols = kinds[kind]
-        typed = "bigint" if kind == "bigint" else "double"
-        work = df.select(*[quoted(c).cast(typed).alias(c) for c in cols])
-        part = {c: ranks[c] for c in cols}
-        large = {c: rs for c, rs in part.items() if counts[c] > small_rows}
-        brackets = _brackets(work, large, counts, accuracy) if large else {}
-        got = _resolve(work, part, counts, brackets, small_rows, accuracy)
-        missed = {
-            c: [r for r in rs if (c, r) not in got] for c, rs in part.items() if any((c, r) not in got for r in rs)
-        }
-        if missed:
-            got.update(_resolve(work, missed, counts, {}, small_rows, accuracy))
-        found.update(got)
+    large = {c: rs for c, rs in ranks.items() if counts[c] > small_rows}
+    brackets = _brackets(long, large, counts, accuracy) if large else {}
+    found = _resolve(long, kind, ranks, counts, brackets, small_rows, accuracy)
+    missed = {c: [r for r in rs if (c, r) not in found] for c, rs in ranks.items()}
+    missed = {c: rs for c, rs in missed.items() if rs}
+    if missed:
+        found.update(_resolve(long, kind, missed, counts, {}, small_rows, accuracy))
     return found
 
 
+def _brackets(
+    long: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int], accuracy: int
+) -> dict[str, list[tuple[Any, Any]]]:
+    """Disjoint closed intervals per column that hold the wanted ranks, from one sketch per column."""
+    out: dict[str, list[tuple[Any, Any]]] = {}
+    columns = list(ranks)
+    for start in range(0, len(columns), SKETCH_GROUPS):
+        chunk = columns[start : start + SKETCH_GROUPS]
+        wanted: dict[str, list[tuple[float, float]]] = {}
+        for c in chunk:
+            n = counts[c]
+            slack = max(2.0 / accuracy, 3.0 / n)
+            wanted[c] = [(max(0.0, r / n - slack), min(1.0, r / n + slack)) for r in ranks[c]]
+        probs = sorted({p for pairs in wanted.values() for pair in pairs for p in pair})
+        at = {p: i for i, p in enumerate(probs)}
+        sketch = F.percentile_approx("value", F.array(*[F.lit(p) for p in probs]), accuracy)
+        rows = long.where(F.col("column").isin(*chunk)).groupBy("column").agg(sketch.alias("q")).collect()
+        for row in rows:
+            c, q = row["column"], row["q"]
+            pairs = sorted((q[at[lo]], q[at[hi]]) for lo, hi in wanted[c])
+            merged = [pairs[0]]
+            for lo, hi in pairs[1:]:
+                if lo <= merged[-1][1]:
+                    merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+                else:
+                    merged.append((lo, hi))
+            out[c] = merged
+    return out
+
+
 def _resolve(
-    df: DataFrame,
+    long: DataFrame,
+    kind: str,
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int],
     brackets: Mapping[str, list[tuple[Any, Any]]],
     small_rows: int,
     accuracy: int,
 ) -> dict[tuple[str, int], Ranked]:
-    spark = df.sparkSession
+    spark = long.sparkSession
     cols = list(ranks)
-    staged = []
-    for c in cols:
-        v = quoted(c)
-        if c in brackets:
-            cell = F.when(v.isNotNull(), _cell(v, brackets[c]))
-            kept = F.when(cell % 2 == 1, v)
-        else:
-            cell = F.when(v.isNotNull(), F.lit(1))
-            kept = v
-        staged.append(F.struct(cell.alias("cell"), kept.alias("value")).alias(c))
-    hist = (
-        df.select(*staged)
-        .unpivot([], [quoted(c) for c in cols], "column", "s")
-        .where(F.col("s.cell").isNotNull())
-        .groupBy("column", F.col("s.cell").alias("cell"), F.col("s.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    # ranks wanted: columns x requested ranks, bounded by the schema
-    wanted = F.broadcast(
-        spark.createDataFrame(
-            [(c, int(r)) for c in cols for r in ranks[c]], "column string, rank bigint"
-        )
-    )
-    inside = max((counts[c] for c in cols if c not in brackets), default=0)
+    rows = long.where(F.col("column").isin(*cols))
     if brackets:
-        inside = max(inside, max(counts[c] * 4 * len(b) // accuracy for c, b in brackets.items()))
-    if inside <= small_rows:
-        hist = hist.withColumn("sub", F.lit(0))
+        # columns x brackets, bounded by the schema.  A lookup in an array keeps
+        # the generated code small however many columns there are; one CASE per
+        # column would outgrow what the JVM compiles.
+        spans = small_table(spark, 
+            [
+                (c, [lo for lo, _ in brackets[c]], [hi for _, hi in brackets[c]]) if c in brackets else (c, None, None)
+                for c in cols
+            ],
+            f"column string, los array<{kind}>, his array<{kind}>",
+        )
+        # even: before, between or after brackets; odd: inside one
+        cell = F.expr("size(filter(los, x -> x <= value)) + size(filter(his, x -> x < value))")
+        rows = rows.join(F.broadcast(spans), "column").select(
+            "column", "value", F.when(F.col("los").isNull(), F.lit(1)).otherwise(cell).alias("cell")
+        )
+        rows = rows.select("column", "cell", F.when(F.col("cell") % 2 == 1, F.col("value")).alias("value"))
     else:
-        hist = _with_sub(hist, df, cols, brackets)
-    order = W.partitionBy("column").orderBy("cell", "sub").rowsBetween(W.unboundedPreceding, -1)
-    if inside <= small_rows:
+        rows = rows.select("column", F.lit(1).alias("cell"), "value")
+    hist = rows.groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    # columns x requested ranks, bounded by the schema
+    wanted = F.broadcast(
+        small_table(spark, [(c, int(r)) for c in cols for r in ranks[c]], "column string, rank bigint")
+    )
+    open_rows = max((counts[c] for c in cols if c not in brackets), default=0)
+    inside = max((4 * counts[c] * len(b) // accuracy for c, b in brackets.items()), default=0)
+    reached = (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("cnt"))
+    if max(open_rows, inside) <= small_rows:
         order = W.partitionBy("column").orderBy("cell", "value").rowsBetween(W.unboundedPreceding, -1)
         located = (
             hist.withColumn("below", F.coalesce(F.sum("cnt").over(order), F.lit(0)))
             .join(wanted, "column")
-            .where((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("cnt")))
+            .where(reached)
         )
     else:
+        hist = _with_sub(hist, rows, cols, brackets)
+        order = W.partitionBy("column").orderBy("cell", "sub").rowsBetween(W.unboundedPreceding, -1)
         subs = (
             hist.groupBy("column", "cell", "sub")
             .agg(F.sum("cnt").alias("cnt"))
-            .withColumn("before", F.coalesce(F.sum("cnt").over(order), F.lit(0)))
+            .withColumn("below", F.coalesce(F.sum("cnt").over(order), F.lit(0)))
             .join(wanted, "column")
-            .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("cnt")))
-            .select("column", "cell", "sub", "before", "rank")
+            .where(reached)
+            .select("column", "cell", "sub", F.col("below").alias("before"), "rank")
         )
         # at most one row per wanted rank
         within = W.partitionBy("column", "rank").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
         located = (
             hist.join(F.broadcast(subs), ["column", "cell", "sub"])
             .withColumn("below", F.col("before") + F.coalesce(F.sum("cnt").over(within), F.lit(0)))
-            .where((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("cnt")))
+            .where(reached)
         )
-    rows = located.where(F.col("cell") % 2 == 1).select("column", "rank", "value", "below", "cnt").collect()
-    return {(r["column"], r["rank"]): Ranked(r["value"], r["below"], r["cnt"]) for r in rows}
+    got = located.where(F.col("cell") % 2 == 1).select("column", "rank", "value", "below", "cnt").collect()
+    return {(r["column"], r["rank"]): Ranked(r["value"], r["below"], r["cnt"]) for r in got}
 
 
 def _with_sub(
-    hist: DataFrame, df: DataFrame, cols: Sequence[str], brackets: Mapping[str, list[tuple[Any, Any]]]
+    hist: DataFrame, rows: DataFrame, cols: Sequence[str], brackets: Mapping[str, list[tuple[Any, Any]]]
 ) -> DataFrame:
     """Equal-width slices of each bracket: a monotone split that bounds the ordered groups."""
-    open_ended = [c for c in cols if c not in brackets]
-    ends = wide_aggregate(df, open_ended, lambda c: {"lo": F.min(c), "hi": F.max(c)})
-    rows = []
-    for c in cols:
-        spans = brackets.get(c) or [(ends[c]["lo"], ends[c]["hi"])]
-        for i, (lo, hi) in enumerate(spans):
+    spark = hist.sparkSession
+    spans = {c: list(b) for c, b in brackets.items() if c in cols}
+    unknown = [c for c in cols if c not in spans]
+    if unknown:
+        ends = rows.where(F.col("column").isin(*unknown)).groupBy("column").agg(
+            F.min("value").alias("lo"), F.max("value").alias("hi")
+        )
+        spans.update({r["column"]: [(r["lo"], r["hi"])] for r in ends.collect()})  # one row per column
+    table = []
+    for c, pairs in spans.items():
+        for i, (lo, hi) in enumerate(pairs):
             lo, hi = float(lo), float(hi)
-            width = hi - lo
-            usable = math.isfinite(width) and width > 0
-            rows.append((c, 2 * i + 1, lo if usable else 0.0, width if usable else 0.0))
-    table = hist.sparkSession.createDataFrame(rows, "column string, cell int, lo double, width double")
-    scaled = (F.col("value").cast("double") - F.col("lo")) / F.col("width") * SUB_BUCKETS
-    sub = F.when(F.col("width") > 0, F.floor(scaled)).otherwise(F.lit(0))
+            usable = math.isfinite(hi - lo) and hi > lo
+            table.append((c, 2 * i + 1, lo if usable else 0.0, hi - lo if usable else 0.0))
+    widths = small_table(spark, table, "column string, cell int, lo double, width double")
+    sub = F.when(
+        F.col("width") > 0, F.floor((F.col("value").cast("double") - F.col("lo")) / F.col("width") * SUB_BUCKETS)
+    )
     # one row per bracket, bounded by the schema
     return (
-        hist.join(F.broadcast(table), ["column", "cell"], "left")
+        hist.join(F.broadcast(widths), ["column", "cell"], "left")
         .withColumn("sub", F.coalesce(sub, F.lit(0)))
         .drop("lo", "width")
     )
@@ -360,42 +375,72 @@ def ordered_cuts(
     df: DataFrame,
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int],
-    tie: Column,
+    tie: str,
     **options: Any,
 ) -> dict[str, dict[int, Cut]]:
     """Cut point after each rank of the order (column, tie).
 
-    ``tie`` is a bigint expression, unique per row.  Where a cut falls inside a
-    run of equal values, the tie value at the remaining rank is found the same
-    way, among the rows of that run only.
+    ``tie`` names a bigint column, unique per row.  Where a cut falls inside a run
+    of equal values, the tie value at the remaining rank is found the same way,
+    among the rows of that run only.
     """
-    at = order_statistics(df, ranks, counts, **options)
-    inside = [(c, r, x) for (c, r), x in at.items() if r != x.below + x.equal]
-    ties: dict[tuple[str, int], int] = {}
-    if inside:
-        names, sub_ranks, sub_counts, exprs = {}, {}, {}, []
-        for i, (c, r, x) in enumerate(inside):
-            name = f"t{i}"
-            names[name] = (c, r)
-            exprs.append(F.when(quoted(c) == F.lit(x.value), tie.cast("bigint")).alias(name))
-            sub_ranks[name] = [r - x.below]
-            sub_counts[name] = x.equal
-        for start in range(0, len(exprs), AGGREGATES_PER_SELECT):
-            part = list(names)[start : start + AGGREGATES_PER_SELECT]
-            got = order_statistics(
-                df.select(*exprs[start : start + AGGREGATES_PER_SELECT]),
-                {p: sub_ranks[p] for p in part},
-                sub_counts,
+    out: dict[str, dict[int, Cut]] = {}
+    for kind, cols in number_families(df, list(ranks)).items():
+        at = order_statistics(df, {c: ranks[c] for c in cols}, counts, **options)
+        runs = {f"{c}#{r}": (c, r, x) for (c, r), x in at.items() if r != x.below + x.equal}
+        ties: dict[tuple[str, int], int] = {}
+        if runs:
+            # columns x cuts, bounded by the schema
+            table = small_table(df.sparkSession, 
+                [(c, x.value, name) for name, (c, _, x) in runs.items()], f"column string, value {kind}, run string"
+            )
+            renamed = df.select(
+                quoted(tie).cast("bigint").alias("_tie"), *[quoted(c) for c in cols]
+            )
+            members = (
+                long_values(renamed, cols, kind, ["_tie"])
+                .join(F.broadcast(table), ["column", "value"])
+                .select(F.col("run").alias("column"), F.col("_tie").alias("value"))
+            )
+            got = long_order_statistics(
+                members,
+                "bigint",
+                {name: [r - x.below] for name, (_, r, x) in runs.items()},
+                {name: x.equal for name, (_, _, x) in runs.items()},
                 **options,
             )
-            for (p, _), x in got.items():
-                ties[names[p]] = x.value
-    out: dict[str, dict[int, Cut]] = {}
-    for (c, r), x in at.items():
-        out.setdefault(c, {})[r] = Cut(x.value, ties.get((c, r)))
+            for (name, _), x in got.items():
+                ties[runs[name][:2]] = x.value
+        for (c, r), x in at.items():
+            out.setdefault(c, {})[r] = Cut(x.value, ties.get((c, r)))
     return out
 
 
+def binned_long(
+    df: DataFrame, columns: Sequence[str], cuts: Mapping[str, Sequence[Cut]], tie: str | None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of (keep..., column, bin): bin = 1 + cut points the row lies beyond; NULL values are left out."""
+    spark = df.sparkSession
+    frames = []
+    for kind, cols in number_families(df, columns).items():
+        tied = F.lit(0) if tie is None else quoted(tie)
+        staged = df.select(
+            *[quoted(k) for k in keep], tied.cast("bigint").alias("_tie"), *[quoted(c) for c in cols if c not in keep]
+        )
+        table = small_table(spark, 
+            [(c, [(x.value, MAX_LONG if x.tie is None else x.tie) for x in cuts.get(c, ())]) for c in cols],
+            f"column string, cuts array<struct<v:{kind},t:bigint>>",
+        )
+        beyond = F.expr("size(filter(cuts, x -> x.v < value OR (x.v = value AND x.t < _tie)))")
+        # one row per column
+        frames.append(
+            long_values(staged, cols, kind, [*keep, "_tie"])
+            .join(F.broadcast(table), "column")
+            .select(*[quoted(k) for k in keep], "column", (beyond + 1).alias("bin"))
+        )
+    return union_all(frames)
+
+
 def ntile_ranks(n: int, k: int) -> list[int]:
     """Last rank of each of the first k-1 equal-count groups of n rows."""
     q, m = divmod(n, k)

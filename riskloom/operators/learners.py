@@ -24,7 +24,7 @@ from riskloom.operators.selection import fs_vote_consensus, score_rows
 from riskloom.operators.stats import anova_f, fs_corr_prune, fs_variance, point_biserial
 from riskloom.operators.transforms import fit_scaler, scale_expr
 from riskloom.operators.woe import Bins, fit_bins, information_value, mutual_information
-from riskloom.sources.scratch import materialise, scratch_path
+from riskloom.sources.scratch import materialise, scratch_path, small_table
 
 
 def model_frame(
@@ -51,7 +51,7 @@ def model_frame(
 
 def _scores(df: DataFrame, features: Sequence[str], values: Sequence[float]) -> DataFrame:
     rows = [(f, float(v)) for f, v in zip(features, values)]
-    return df.sparkSession.createDataFrame(rows, "feature string, score double")
+    return small_table(df.sparkSession, rows, "feature string, score double")
 
 
 def logistic(c: float, l1_ratio: float, n: int, max_iter: int = 100) -> LogisticRegression:
@@ -179,7 +179,7 @@ def fs_gbt_splits(df: DataFrame, features: Sequence[str], target: str, **options
         .groupBy("i")
         .agg(F.count(F.lit(1)).alias("splits"), F.sum("gain").alias("gain"))
     )
-    names = df.sparkSession.createDataFrame(list(enumerate(features)), "i int, feature string")
+    names = small_table(df.sparkSession, list(enumerate(features)), "i int, feature string")
     return names.join(used, "i", "left").select(
         "feature",
         F.coalesce("splits", F.lit(0)).cast("bigint").alias("splits"),
@@ -314,12 +314,12 @@ def feature_sets(
         "FS6_Boosted": best(fs_gbt(df, features, target, rounds=rounds, depth=3, rate=0.2, subsample=1.0, min_leaf=1), "score"),
     }
     rows = [(s, i, c) for s, cols in chosen.items() for i, c in enumerate(cols, start=1)]
-    sets = spark.createDataFrame(rows, "feature_set string, position int, feature string")
+    sets = small_table(spark, rows, "feature_set string, position int, feature string")
     voted = fs_vote_consensus(
         sets.where(F.col("feature_set") != "FS1_All"), top_n, fallback="FS5_RandomForest"
     ).orderBy(F.desc("votes"), "feature").collect()
     rows += [("FS7_Consensus", i, r["feature"]) for i, r in enumerate(voted, start=1)]
-    return spark.createDataFrame(rows, "feature_set string, position int, feature string")
+    return small_table(spark, rows, "feature_set string, position int, feature string")
 
 
 def selected_sets(ranked: DataFrame, n: int = 200) -> DataFrame:

@@ -12,6 +12,7 @@ from riskloom.functions.scalar import half_up, quoted, ratio
 from riskloom.operators.kernels import (
     approx_distinct,
     exact_quantiles,
+    long_values,
     type_families,
     union_all,
     unpivot_typed,
@@ -19,6 +20,7 @@ from riskloom.operators.kernels import (
     wide_aggregate,
     wide_aggregate_frame,
 )
+from riskloom.sources.scratch import small_table
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -32,7 +34,7 @@ def row_count(df: DataFrame) -> DataFrame:
 def schema_columns(df: DataFrame, target: str | None = None) -> DataFrame:
     """One row per column: position, name, type, and whether it is a feature (not the target)."""
     rows = [(i, f.name, f.dataType.simpleString(), f.name != target) for i, f in enumerate(df.schema, start=1)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, data_type string, is_feature boolean")
+    return small_table(df.sparkSession, rows, "position int, column string, data_type string, is_feature boolean")
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:
@@ -107,7 +109,7 @@ def cardinality(
     for kind, cols in type_families(df, columns).items():
         pairs = unpivot_typed(df, cols, kind).where(F.col("value").isNotNull()).distinct()
         counts.append(pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique")))
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    names = small_table(df.sparkSession, [(c,) for c in columns], "column string")
     return (
         names.join(union_all(counts), "column", "left")
         .select("column", F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"))
@@ -149,7 +151,7 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: bo
         rows.append((c, s["n"], s["n_missing"], s["mean"], s["std"], s["min"], q1, med, q3, s["max"]))
     schema = "column string, n bigint, n_missing bigint, mean double, std double, min double, " \
              "q1 double, median double, q3 double, max double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_table(df.sparkSession, rows, schema)
 
 
 def _round6(x: float | None) -> float | None:
@@ -237,35 +239,28 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     columns = list(columns)
     clean = df.select(*[F.nanvl(quoted(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     ends = wide_aggregate(clean, columns, lambda c: {"lo": F.min(c), "hi": F.max(c)})
-    grid, exprs, used = [], [], []
+    spans = []
     for c in columns:
         lo, hi = ends[c]["lo"], ends[c]["hi"]
-        if lo is None:
-            continue
-        if lo == hi:
-            lo, hi = lo - 0.5, hi + 0.5
-        width = hi - lo
-        slot = F.floor((quoted(c) - F.lit(lo)) / F.lit(width) * F.lit(float(bins))).cast("int")
-        # least() would skip the NULL of a missing value
-        exprs.append(F.when(slot < bins, slot).when(slot >= bins, F.lit(bins - 1)).alias(c))
-        used.append(c)
-        grid += [(c, b, lo + width * b / bins, lo + width * (b + 1) / bins) for b in range(bins)]
-    schema = "column string, bin int, lower double, upper double"
-    slots = df.sparkSession.createDataFrame(grid, schema)
-    if not used:
-        return slots.withColumn("count", F.lit(0).cast("bigint"))
+        if lo is not None:
+            spans.append((c, lo - 0.5, hi + 0.5) if lo == hi else (c, lo, hi))
+    # one row per column
+    ranges = F.broadcast(small_table(df.sparkSession, spans, "column string, lo double, hi double"))
+    n = F.lit(float(bins))
+    slot = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n)
     counted = (
-        clean.select(*exprs)
-        .unpivot([], [quoted(c) for c in used], "column", "bin")
-        .where(F.col("bin").isNotNull())
-        .groupBy("column", "bin")
+        long_values(clean, columns, "double")
+        .join(ranges, "column")
+        .groupBy("column", F.least(slot, F.lit(bins - 1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("count"))
     )
+    slots = ranges.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin"))
+    width = F.col("hi") - F.col("lo")
     return slots.join(counted, ["column", "bin"], "left").select(
         "column",
-        F.col("bin").cast("bigint").alias("bin"),
-        half_up(F.col("lower"), 6).alias("lower"),
-        half_up(F.col("upper"), 6).alias("upper"),
+        "bin",
+        half_up(F.col("lo") + width * F.col("bin") / n, 6).alias("lower"),
+        half_up(F.col("lo") + width * (F.col("bin") + 1) / n, 6).alias("upper"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
     )
 

@@ -32,7 +32,7 @@ def _hash_cuts(
     """Cut points of the hash order within each class (class name -> membership condition)."""
     h = hash_order(quoted(ident), seed)
     keyed = df.select(quoted(ident).alias("_id"), *[F.when(cond, h).alias(name) for name, cond in classes.items()])
-    return ordered_cuts(keyed, ranks, counts, F.col("_id"), **options)
+    return ordered_cuts(keyed, ranks, counts, "_id", **options)
 
 
 def _class_sizes(df: DataFrame, classes: dict[str, Column]) -> dict[str, int]:

@@ -17,6 +17,7 @@ from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, is_missing, quoted, ratio
 from riskloom.operators.governance import align_columns, columns_of, schema_classify
 from riskloom.operators.kernels import exact_quantiles, unpivot_typed, value_histogram, wide_aggregate
+from riskloom.sources.scratch import small_table
 
 SPEC_SCHEMA = "step string, column string, key string, num double, txt string, position int"
 
@@ -375,7 +376,7 @@ def fit_spec(
     )
     add("n_features_out", None, num=estimate)
 
-    spec = df.sparkSession.createDataFrame(rows, SPEC_SCHEMA)
+    spec = small_table(df.sparkSession, rows, SPEC_SCHEMA)
     woe_columns = [c for c in categorical if plan[c] == "woe"]
     if woe_columns:
         filled = impute(fit.select(quoted(target), *[quoted(c).cast("string").alias(c) for c in woe_columns]),

@@ -36,7 +36,7 @@ from riskloom.plans.fixtures import (
 )
 from riskloom.operators.star import star_left_join
 from riskloom.sources.readers import read_delimited, read_lenient, read_parquet
-from riskloom.sources.scratch import materialise, scratch_path
+from riskloom.sources.scratch import materialise, scratch_path, small_table
 from riskloom.sources.sinks import write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +130,7 @@ def q_numeric_features(spark, sf):
     df = risk(spark, sf)
     wanted = ["li_cnt", "cust_segment", "no_such_column", "funded", "ord_price_gappy", "drv_skewed"]
     names = governance.numeric_features(df, wanted, "funded")
-    return spark.createDataFrame(list(enumerate(names, start=1)), "position bigint, feature string")
+    return small_table(spark, list(enumerate(names, start=1)), "position bigint, feature string")
 
 
 @query

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _LOCAL_ROOT: dict[str, str] = {}
 
@@ -42,7 +45,24 @@ def materialise(df: DataFrame, name: str = "base") -> DataFrame:
 
     Operators that pass over their input more than once take such a table, so a
     star join is not repeated per pass and each pass scans only its columns.
+    Where the sources have fewer files than there are cores, the rows are spread
+    so that later passes can use all of them; larger inputs are written as they
+    come, without a shuffle.
     """
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if 0 < len(df._jdf.inputFiles()) < cores:
+        df = df.repartition(cores)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A driver-made parameter table as a local relation, so its size is known to the planner."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.fields]
+    data = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(data, schema=arrow), schema)
