@@ -1,3 +1,11 @@
 """riskloom: binary-outcome risk analytics as plain Spark DataFrame functions."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few functions that run in Python workers travel with the job, so executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -160,9 +160,9 @@ def _round6(x: float | None) -> float | None:
     return math.floor(x * 1e6 + 0.5) / 1e6
 
 
-def value_counts(df: DataFrame, column: str, top_n: int | None = None) -> DataFrame:
+def value_counts(df: DataFrame, column: str, top_n: int | None = None, n_rows: int | None = None) -> DataFrame:
     """Rows per value (NULL is a value), share of all rows in percent, most frequent first."""
-    n = df.count()
+    n = df.count() if n_rows is None else n_rows
     out = (
         df.groupBy(quoted(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("count"))
@@ -178,7 +178,7 @@ def target_distribution(df: DataFrame, target: str, positive=1) -> DataFrame:
     totals = t.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("t") == F.lit(positive), True)).alias("pos")).first()
     n, pos = totals["n"], totals["pos"]
     imbalance = math.floor((n - pos) / pos * 10 + 0.5) / 10 if pos else 0.0
-    return value_counts(df, target).select(
+    return value_counts(df, target, n_rows=n).select(
         F.col("value").alias("target_value"),
         "count",
         "pct",

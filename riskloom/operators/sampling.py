@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.functions.scalar import half_up, hash_order, quoted, ratio
 from riskloom.operators.kernels import Cut, ntile_column, ntile_ranks, ordered_cuts
@@ -55,19 +55,25 @@ def sample_hash(df: DataFrame, n: int, ident: str, seed: int = 42, **options) ->
     return df.where(cut.covers(hash_order(quoted(ident), seed), quoted(ident)))
 
 
-def undersample_hash(
+def undersample_condition(
     df: DataFrame, target: str, ident: str, ratio_neg: float = 3.0, seed: int = 42, **options
-) -> DataFrame:
-    """All positives and exactly min(ratio x positives, negatives) negatives."""
+) -> Column:
+    """Row condition that keeps all positives and exactly min(ratio x positives, negatives) negatives."""
     classes = _two_classes(target)
     sizes = _class_sizes(df, classes)
     keep = min(int(sizes["pos"] * ratio_neg), sizes["neg"])
     if keep == sizes["neg"]:
-        return df
+        return F.lit(True)
     if keep == 0:
-        return df.where(classes["pos"])
+        return classes["pos"]
     cut = _hash_cuts(df, ident, seed, {"neg": classes["neg"]}, {"neg": [keep]}, sizes, **options)["neg"][keep]
-    return df.where(classes["pos"] | cut.covers(hash_order(quoted(ident), seed), quoted(ident)))
+    return classes["pos"] | cut.covers(hash_order(quoted(ident), seed), quoted(ident))
+
+
+def undersample_hash(
+    df: DataFrame, target: str, ident: str, ratio_neg: float = 3.0, seed: int = 42, **options
+) -> DataFrame:
+    return df.where(undersample_condition(df, target, ident, ratio_neg, seed, **options))
 
 
 def undersample_fraction(df: DataFrame, target: str, ratio_neg: float = 2.0, seed: int = 42) -> DataFrame:
@@ -82,8 +88,8 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
     """Balanced weights n / (2 n_c) per class (6 dp)."""
     y = F.when(F.coalesce(quoted(target).cast("double"), F.lit(0.0)) == 1.0, 1).otherwise(0)
     sizes = df.groupBy(y.cast("bigint").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    return sizes.withColumn("weight", half_up(ratio(F.lit(total), F.lit(2.0) * F.col("n")), 6))
+    total = F.sum("n").over(W.partitionBy(F.lit(0)))  # two rows
+    return sizes.withColumn("weight", half_up(ratio(total, F.lit(2.0) * F.col("n")), 6))
 
 
 def with_class_weight(df: DataFrame, target: str, name: str = "weight") -> DataFrame:
@@ -93,16 +99,23 @@ def with_class_weight(df: DataFrame, target: str, name: str = "weight") -> DataF
     return df.withColumn(name, F.when(_two_classes(target)["pos"], F.lit(w["pos"])).otherwise(F.lit(w["neg"])))
 
 
-def kfold_assign(df: DataFrame, target: str, ident: str, k: int = 3, seed: int = 42, **options) -> DataFrame:
-    """Add ``fold`` 0..k-1: equal-count slices of the hash order within each class."""
+def fold_column(df: DataFrame, target: str, ident: str, k: int = 3, seed: int = 42, **options) -> Column:
+    """Fold 0..k-1 as an expression: equal-count slices of the hash order within each class."""
     classes = _two_classes(target)
     sizes = _class_sizes(df, classes)
     ranks = {c: ntile_ranks(n, k) for c, n in sizes.items()}
     cuts = _hash_cuts(df, ident, seed, classes, ranks, sizes, **options)
     h, tie = hash_order(quoted(ident), seed), quoted(ident)
-    fold = F.when(classes["pos"], ntile_column(h, tie, cuts.get("pos", {}), sizes["pos"], k) if sizes["pos"] else F.lit(1))
-    fold = fold.otherwise(ntile_column(h, tie, cuts.get("neg", {}), sizes["neg"], k) if sizes["neg"] else F.lit(1))
-    return df.withColumn("fold", (fold - F.lit(1)).cast("int"))
+
+    def slices(c: str) -> Column:
+        return ntile_column(h, tie, cuts.get(c, {}), sizes[c], k) if sizes[c] else F.lit(1)
+
+    fold = F.when(classes["pos"], slices("pos")).otherwise(slices("neg"))
+    return (fold - F.lit(1)).cast("int")
+
+
+def kfold_assign(df: DataFrame, target: str, ident: str, k: int = 3, seed: int = 42, **options) -> DataFrame:
+    return df.withColumn("fold", fold_column(df, target, ident, k, seed, **options))
 
 
 def stratified_split(
@@ -127,20 +140,16 @@ def split_stats(df: DataFrame, group: str, target: str, folds: int = 5, train: s
     per = df.groupBy(quoted(group).alias("split")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).cast("bigint").alias("positives")
     )
-    # one row per split from here on
-    total = per.groupBy().agg(
-        F.sum("n").alias("n"),
-        F.sum("positives").alias("p"),
-        F.max(F.when(F.col("split") == train, ratio(F.col("n") - F.col("positives"), F.greatest(F.col("positives"), F.lit(1))))).alias("r"),
-    ).first()
-    n, p = total["n"] or 0, total["p"] or 0
+    w = W.partitionBy(F.lit(0))  # one row per split from here on
+    n, p = F.sum("n").over(w), F.sum("positives").over(w)
+    odds = ratio(F.col("n") - F.col("positives"), F.greatest(F.col("positives"), F.lit(1).cast("bigint")))
     return per.select(
         "split",
         "n",
         "positives",
         (F.col("n") - F.col("positives")).alias("negatives"),
-        half_up(ratio(F.col("n"), F.lit(n)) * F.lit(100.0), 4).alias("pct"),
-        half_up(F.lit(total["r"]).cast("double"), 6).alias("train_imbalance"),
-        F.lit(p // folds).cast("bigint").alias("positives_per_fold"),
-        F.lit((n - p) // folds).cast("bigint").alias("negatives_per_fold"),
+        half_up(ratio(F.col("n"), n) * F.lit(100.0), 4).alias("pct"),
+        half_up(F.max(F.when(F.col("split") == train, odds)).over(w), 6).alias("train_imbalance"),
+        F.floor(p / F.lit(folds)).alias("positives_per_fold"),
+        F.floor((n - p) / F.lit(folds)).alias("negatives_per_fold"),
     )

@@ -11,7 +11,7 @@ import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, is_missing, quoted, ratio
@@ -134,19 +134,31 @@ def encoding_plan(df: DataFrame, columns: Sequence[str], max_levels: int = 50) -
     )
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted non-null values per column; for columns planned as one-hot or ordinal (tens of values)."""
+def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list[str]]:
+    """Sorted non-null values per column; a column with more than ``max_levels`` is refused.
+
+    The row-number filter is pushed below the shuffle, so no task ever holds more
+    than max_levels + 1 values of a column.
+    """
     if not columns:
         return {}
+    w = W.partitionBy("column").orderBy("value")
     rows = (
         value_histogram(df, columns)
         .where(F.col("value").isNotNull())
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("levels"))
+        .withColumn("_n", F.row_number().over(w))
+        .where(F.col("_n") <= max_levels + 1)
+        .select("column", "value")
         .collect()
     )
-    found = {r["column"]: list(r["levels"]) for r in rows}
-    return {c: found.get(c, []) for c in columns}
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    for r in rows:
+        levels[r["column"]].append(r["value"])
+    for c, values in levels.items():
+        if len(values) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} values; encode it by woe")
+        values.sort(key=lambda v: v.encode("utf-8"))
+    return levels
 
 
 def one_hot_exprs(c: Column, name: str, levels: Sequence[str]) -> dict[str, Column]:

@@ -184,7 +184,7 @@ def q_missing_counts(spark, sf):
 
 @query
 def q_cardinality(spark, sf):
-    return profile.cardinality(governance.prohibited_guard(risk(spark, sf)))
+    return profile.cardinality(governance.prohibited_guard(risk(spark, sf, keep=True)))
 
 
 @query
@@ -772,4 +772,4 @@ def q_grid_search(spark, sf):
     sets = {"FS1_All": PREDICTORS, "FS_Price": ["ord_price_gappy", "ord_totalprice", "cust_acctbal"]}
     models = [m for m in grid.MODELS if m.id in ("LR_L2", "DT_d5", "GNB")]
     combos = grid.combinations(models, grid.SCALERS[:1], grid.IMBALANCE[:2])
-    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos, small=True)
+    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos, small=True).results

@@ -38,28 +38,25 @@ def _cell(name: str, nulls: Sequence[str]) -> Column:
 
 
 def infer_types(df: DataFrame, nulls: Sequence[str] = NULL_STRINGS) -> T.StructType:
-    """Narrowest type every non-null cell of a text column fits, in one scan."""
-    kinds = [k for k, _ in _INFER_ORDER]
-    aggs = []
-    for i, name in enumerate(df.columns):
-        cell = _cell(name, nulls)
-        aggs.append(F.count(cell).alias(f"{i}_n"))
-        for kind in kinds:
-            fits = cell.rlike(_SHAPES[kind]) & cell.try_cast(kind).isNotNull()
-            aggs.append(F.count(F.when(fits, True)).alias(f"{i}_{kind}"))
-    counts: dict[str, int] = {}
-    for start in range(0, len(aggs), 90):
-        counts.update(df.agg(*aggs[start : start + 90]).first().asDict())
-    fields = []
-    for i, name in enumerate(df.columns):
-        n = counts[f"{i}_n"]
-        chosen: T.DataType = T.StringType()
-        for kind, dtype in _INFER_ORDER:
-            if n and counts[f"{i}_{kind}"] == n:
-                chosen = dtype
-                break
-        fields.append(T.StructField(name, chosen))
-    return T.StructType(fields)
+    """Narrowest type every non-null cell of a text column fits.
+
+    One scan whatever the width: cells become (column, value) rows and each
+    candidate type is a map-side combined count.
+    """
+    cells = df.unpivot([], [F.col(f"`{c}`") for c in df.columns], "column", "value")
+    value = F.col("value")
+    known = cells.where(value.isNotNull() & ~value.isin(*nulls) if nulls else value.isNotNull())
+    fits = {k: value.rlike(_SHAPES[k]) & value.try_cast(k).isNotNull() for k, _ in _INFER_ORDER}
+    counts = known.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(F.when(c, True)).alias(k) for k, c in fits.items()]
+    )
+    found = {r["column"]: r for r in counts.collect()}  # one row per column
+
+    def narrowest(name: str) -> T.DataType:
+        row = found.get(name)
+        return next((t for k, t in _INFER_ORDER if row and row[k] == row["n"]), T.StringType())
+
+    return T.StructType([T.StructField(c, narrowest(c)) for c in df.columns])
 
 
 def read_delimited(

@@ -80,7 +80,11 @@ def test_grid_ranks_and_survives_failures(toy, monkeypatch):
         return real(model_id, *a, **kw)
 
     monkeypatch.setattr(grid, "estimator", flaky)
-    rows = grid.run_grid(toy, {"all": FEATURES, "weak": ["weak"]}, "y", "split", "id", combos, folds=2, small=True).orderBy("rank").collect()
+    run = grid.run_grid(toy, {"all": FEATURES, "weak": ["weak"]}, "y", "split", "id", combos, folds=2, small=True)
+    rows = run.results.orderBy("rank").collect()
+    curves = grid.family_curves(run)
+    assert {r["model_family"] for r in curves.select("model_family").distinct().collect()} == {"Logistic Regression", "Decision Tree"}
+    assert curves.agg(F.max("tpr")).first()[0] == 1.0
     assert [r["rank"] for r in rows] == list(range(1, len(combos) * 2 + 1))
     good = [r for r in rows if not r["error"]]
     assert len(good) == 12 and len(rows) == 18
