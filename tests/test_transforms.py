@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import sampling, transforms
 from riskloom.operators.star import star_left_join
 from riskloom.plans.queries import _fit_spec, _spec_input
-from riskloom.sources import readers, sinks
+from riskloom.sources import artifacts, readers, sinks
 from riskloom.sources.scratch import materialise, scratch_path
 from riskloom.streaming.serve import serve_stream
 
@@ -157,3 +157,39 @@ def test_json_sink_round_trip(spark):
     path = scratch_path(spark, "json")
     sinks.write_json(df, path)
     assert sinks.load_json(spark, path, df.schema).exceptAll(df).count() == 0
+
+
+def test_spec_document_round_trip(spark, fitted):
+    df, spec = fitted
+    path = scratch_path(spark, "spec-json")
+    artifacts.save_document(spark, artifacts.spec_document(spec), path)
+    doc = artifacts.load_document(spark, path)
+    assert doc["encoding"]["drv_high_card"] == "woe" and doc["winsorisation"]["drv_outlier"]["lower"] < 0
+    train = df.where("sample_group = 'Train'")
+    again = artifacts.spec_from_document(spark, doc, train, "flagged")
+    a = transforms.serve_features(df, spec, FEATURES, keep=["record_id"]).withColumn("drv_high_card", F.round("drv_high_card", 9))
+    b = transforms.serve_features(df, again, FEATURES, keep=["record_id"]).withColumn("drv_high_card", F.round("drv_high_card", 9))
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0
+    del doc["levels"]
+    bare = artifacts.spec_from_document(spark, doc, train, "flagged")
+    c = transforms.serve_features(df, bare, FEATURES, keep=["record_id"]).withColumn("drv_high_card", F.round("drv_high_card", 9))
+    assert a.exceptAll(c).count() == 0
+
+
+def test_other_documents(spark):
+    agreement = spark.createDataFrame(
+        [(1, "a", 0.9, 3, "Both"), (2, "b", 0.5, 3, "Tree"), (3, "c", 0.1, 3, "-")],
+        "rank int, feature string, consensus double, n_methods int, agreement string",
+    )
+    doc = artifacts.selection_document(agreement, 2, ["IV"])
+    assert doc["selected_features"] == ["a", "b"] and doc["tree_only"] == ["b"] and doc["consensus_scores"]["c"] == 0.1
+    rows = spark.createDataFrame([("Train", 1), ("Train", 0), ("Train", 0), ("Test", 1), ("OOT", 0)], "g string, y int")
+    split = artifacts.split_document(sampling.split_stats(rows, "g", "y"), ["a"])
+    assert (split["n_train"], split["n_val"], split["n_test"], split["imbalance_ratio"]) == (3, 1, 1, 2.0)
+    results = spark.createDataFrame([(2, "M2", "A", "S", "I"), (1, "M1", "A", "S", "I")],
+                                    "rank int, model_label string, feature_set string, scaler string, imbalance string")
+    got = artifacts.results_document(results)
+    assert got["best_model"] == "M1" and got["total_experiments"] == 2 and len(got["ranking"]) == 2
+    path = scratch_path(spark, "doc")
+    artifacts.save_document(spark, got, path)
+    assert artifacts.load_document(spark, path)["ranking"][1]["rank"] == 2
