@@ -28,6 +28,8 @@ SUB_BUCKETS = 1024
 # Object hash aggregation falls back to sorting beyond 128 groups.
 SKETCH_GROUPS = 100
 MAX_LONG = 2**63 - 1
+# Range partitions of one global order; beyond it partitions grow (and their sorts spill).
+MAX_PARTS = 20_000
 
 
 def wide_aggregate(
@@ -489,7 +491,7 @@ def with_prefix(
         w = W.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
         return df.select("*", *[F.sum(sums[n]).over(w).alias(n) for n in names])
     spark = df.sparkSession
-    parts = math.ceil(n_rows / rows_per_part)
+    parts = min(math.ceil(n_rows / rows_per_part), MAX_PARTS)
     path = scratch_path(spark, "ordered")
     (
         df.repartitionByRange(parts, *[quoted(b) for b in by], *order)
@@ -522,11 +524,13 @@ def with_row_number(
     return with_prefix(df, order, {name: F.lit(1).cast("bigint")}, by=by, **options)
 
 
-def quantile_edges(df: DataFrame, column: Column, k: int, accuracy: int = SKETCH_ACCURACY) -> list[float]:
-    """Approximate equal-count edges of one expression from a sketch (no shuffle of rows)."""
+def quantile_edges(
+    df: DataFrame, columns: Sequence[str], k: int, accuracy: int = SKETCH_ACCURACY
+) -> dict[str, list[float]]:
+    """Approximate equal-count edges per column from sketches: one aggregate, no shuffle of rows."""
     probs = F.array(*[F.lit(i / k) for i in range(1, k)])
-    row = df.agg(F.percentile_approx(column, probs, accuracy).alias("q")).first()
-    return sorted(set(row["q"] or []))
+    got = wide_aggregate(df, columns, lambda c: {"q": F.percentile_approx(c, probs, accuracy)})
+    return {c: sorted(set(got[c]["q"] or [])) for c in columns}
 
 
 def approx_distinct(*columns: Column) -> Column:

@@ -385,9 +385,11 @@ SELECT "column" AS feature, {rnd("SUM((q - p) * LN(q / p))")} AS psi FROM (
         FROM placed GROUP BY "column", bin) WINDOW w AS (PARTITION BY "column"))
 GROUP BY "column" """,
     "long AS (SELECT * FROM (" + long("risk_raw", NUMERIC, "record_id, sample_group") + ") WHERE value IS NOT NULL)",
-    """tiles AS (SELECT *, NTILE(10) OVER (PARTITION BY "column" ORDER BY value, record_id) AS bin FROM long WHERE sample_group = 'Train')""",
-    # last (value, id) of each of the first nine tiles
-    """cuts AS (SELECT "column", bin, MAX({'v': value, 'i': record_id}) AS top FROM tiles WHERE bin < 10 GROUP BY "column", bin)""",
+    """tiles AS (SELECT *, NTILE(10) OVER w AS bin, LEAD(value) OVER w AS following FROM long WHERE sample_group = 'Train'
+       WINDOW w AS (PARTITION BY "column" ORDER BY value, record_id))""",
+    # last (value, id) of each of the first nine tiles; a value that ends with its tile belongs to it whatever the id
+    """cuts AS (SELECT "column", bin, MAX({'v': value, 'i': CASE WHEN following = value THEN record_id ELSE 9223372036854775807 END}) AS top
+       FROM tiles WHERE bin < 10 GROUP BY "column", bin)""",
     """placed AS (SELECT l."column", l.sample_group, 1 + COUNT(c.bin) AS bin
        FROM long l LEFT JOIN cuts c ON c."column" = l."column" AND {'v': l.value, 'i': l.record_id} > c.top
        WHERE l.sample_group IN ('Train', 'OOT') GROUP BY l."column", l.sample_group, l.record_id)""")
