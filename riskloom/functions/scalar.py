@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Sequence
-
 from pyspark.sql import Column, functions as F
 
 
@@ -53,20 +50,3 @@ def hash_order(ident: Column, seed: int | str) -> Column:
     """A reproducible random sort key: the first 60 bits of md5('seed:id')."""
     text = F.concat(F.lit(f"{seed}:"), ident.cast("string"))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
-
-
-def bucket_of(c: Column, bounds: Sequence[float]) -> Column:
-    """Number of sorted ``bounds`` that are <= c, as a balanced CASE tree."""
-    bounds = sorted(set(bounds))
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(bounds[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return node(0, len(bounds))
-
-
-def bucket_of_value(x: float, bounds: Sequence[float]) -> int:
-    return bisect_right(sorted(set(bounds)), x)

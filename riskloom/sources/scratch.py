@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# The default size of one scan task.
+SCAN_TASK_BYTES = 128 * 2**20
 _LOCAL_ROOT: dict[str, str] = {}
 
 
@@ -45,19 +47,30 @@ def materialise(df: DataFrame, name: str = "base") -> DataFrame:
 
     Operators that pass over their input more than once take such a table, so a
     star join is not repeated per pass and each pass scans only its columns.
-    Where the sources have fewer files than there are cores, the rows are spread
-    so that later passes can use all of them; larger inputs are written as they
-    come, without a shuffle.
+    Small inputs in fewer files than there are cores are spread, so that later
+    passes can use all cores; larger ones are written as they come, without a
+    shuffle.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if 0 < len(df._jdf.inputFiles()) < cores:
-        df = df.repartition(cores)
+    if _too_few_tasks(df):
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _too_few_tasks(df: DataFrame) -> bool:
+    """Whether the files behind ``df`` are too few and too small to give every core a scan task."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df._jdf.inputFiles()
+    if not 0 < len(files) < cores:
+        return False
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) for f in files]
+    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths) < cores * SCAN_TASK_BYTES
+
+
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
     """A driver-made parameter table as a local relation, so its size is known to the planner."""
     if isinstance(schema, str):
