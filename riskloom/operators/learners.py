@@ -20,7 +20,14 @@ from riskloom.functions.scalar import hash_order, quoted
 from riskloom.operators.kernels import union_all, with_row_number
 from riskloom.operators.metrics import metrics_from_histogram, score_histogram
 from riskloom.operators.sampling import kfold_assign, stratified_split, with_class_weight
-from riskloom.operators.selection import fs_vote_consensus, score_rows
+from riskloom.operators.selection import (
+    fs_both,
+    fs_lr_only,
+    fs_tree_only,
+    fs_vote_consensus,
+    score_rows,
+    top_names,
+)
 from riskloom.operators.stats import anova_f, fs_corr_prune, fs_variance, point_biserial
 from riskloom.operators.transforms import fit_scaler, scale_expr
 from riskloom.operators.woe import Bins, fit_bins, information_value, mutual_information
@@ -324,8 +331,6 @@ def feature_sets(
 
 def selected_sets(ranked: DataFrame, n: int = 200) -> DataFrame:
     """The sets a finished selection gives: selected, both, tree only, LR only."""
-    from riskloom.operators.selection import fs_both, fs_lr_only, fs_tree_only, top_names
-
     parts = {
         "Selected": top_names(ranked, "consensus", n),
         "BothConsensus": fs_both(ranked, n),
