@@ -1,32 +1,30 @@
 """Written tables in the shared folder, used to cut lineage between passes.
 
-The folder is the one the session names in ``spark.checkpoint.dir`` (or the one
-set with ``setCheckpointDir``).  Only a local session without either gets a
-temporary folder of its own.
+The folder is the one the session names in ``spark.checkpoint.dir``.  Only a
+session with a plain ``local`` master and no such setting, as in tests, gets a
+temporary folder of its own, since driver and tasks are then one process.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# The default size of one scan task.
-SCAN_TASK_BYTES = 128 * 2**20
 _LOCAL_ROOT: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOT:
@@ -34,41 +32,47 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT[app]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder, deleted when the driver's JVM ends."""
+    """A fresh path under the shared folder, deleted when the driver's JVM ends if nobody did before."""
     path = f"{scratch_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    jpath, fs = _hadoop(spark, path)
+    fs.deleteOnExit(jpath)
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    jpath, fs = _hadoop(spark, path)
+    fs.delete(jpath, True)
+    fs.cancelDeleteOnExit(jpath)
+
+
 def materialise(df: DataFrame, name: str = "base") -> DataFrame:
     """Write ``df`` as Parquet once and read it back.
 
     Operators that pass over their input more than once take such a table, so a
     star join is not repeated per pass and each pass scans only its columns.
-    Small inputs in fewer files than there are cores are spread, so that later
-    passes can use all cores; larger ones are written as they come, without a
-    shuffle.
     """
     spark = df.sparkSession
-    if _too_few_tasks(df):
-        df = df.repartition(spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _too_few_tasks(df: DataFrame) -> bool:
-    """Whether the files behind ``df`` are too few and too small to give every core a scan task."""
+@contextmanager
+def working_table(df: DataFrame, name: str = "work") -> Iterator[DataFrame]:
+    """``materialise`` for a table that no result refers to: it is deleted at the end of the block."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df._jdf.inputFiles()
-    if not 0 < len(files) < cores:
-        return False
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) for f in files]
-    return sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in paths) < cores * SCAN_TASK_BYTES
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_scratch(spark, path)
 
 
 def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
