@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from xxhash import xxh3_64_intdigest
 
 # Chunks in each of the two generations that a worker keeps.
 CACHED_CHUNKS = 250_000
@@ -131,3 +132,50 @@ def batch_ids(texts: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
     ends = np.concatenate([[0], np.cumsum(each)])
     ids = pool[np.repeat(starts[codes] - ends[:-1], each) + np.arange(ends[-1])] if len(codes) else pool[:0]
     return ids, ends[bounds - bounds[0]]
+
+
+def batch_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words between ASCII white space (NULL: none): a code for each, the words by code, and the bounds of each text."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    empty = pc.index(coded.dictionary, "").as_py()
+    bounds = bounds - bounds[0]
+    if empty >= 0:
+        words = codes != empty
+        bounds = np.concatenate([[0], np.cumsum(words)])[bounds]
+        codes = codes[words]
+    return codes, coded.dictionary, bounds
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, the same in every task."""
+    cells = words.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxh3_64_intdigest, cells), np.uint64, len(cells))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A finaliser for 64-bit keys."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of ``values`` between bounds."""
+    total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def labelled_ids(labels: DataFrame, label: str, per_class: int, held_out: int | None = None) -> DataFrame:
+    """doc_id and label (0 or 1) of at most ``per_class`` documents of each class, the first by a hash of the id.
+
+    A document labelled more than once has its largest label; NULL ids and labels are
+    left out, and with ``held_out`` the ids of that fold.
+    """
+    one = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    if held_out is not None:
+        one = one.filter(fold("doc_id") != held_out)
+    one = one.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    first = [one.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    return first[0].unionByName(first[1])

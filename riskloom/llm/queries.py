@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, packing, token_counts, token_planes
+from riskloom.llm import decontaminate, langid, packing, quality_llr, token_counts, token_planes
 from riskloom.llm.common import table
 from riskloom.sources.scratch import scratch_path
 
@@ -26,6 +26,16 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=0)
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_llr")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_llr.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
