@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, langid, packing, quality_llr, token_counts, token_planes
+from riskloom.llm import decontaminate, langid, packing, quality_llr, token_counts, token_planes, toxicity
 from riskloom.llm.common import table
 from riskloom.sources.scratch import scratch_path
 
@@ -21,6 +21,11 @@ def query(name: str):
     return add
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=0)
