@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, langid, lm_bloom, packing, quality_llr, token_counts, token_planes, toxicity
+from riskloom.llm import decontaminate, langid, lm_bloom, minhash, packing, quality_llr, token_counts, token_planes, toxicity
 from riskloom.llm.common import table
 from riskloom.sources.scratch import scratch_path
 
@@ -58,6 +58,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.read_token_files(spark, path)
 
 
+@query("op9_minhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op10_lm_scores")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_bloom.lm_scores(table(spark, sf_dir, "documents"))
