@@ -10,10 +10,13 @@ first, so two texts agree in a register with their probability Jaccard similarit
 A shingle stops once its next arrival is later than the last register's first.
 
 Candidates.  ``BANDS`` bands of ``ROWS`` registers; texts that share a band are
-compared with the least id there, not with each other, so a group of any size costs
-one row per member and band, and the least id is found by a map-side combined
-minimum.  Pairs that share a band but are not yet in one component afterwards are
-compared too, so no link between different texts is lost to the choice of pivots.
+compared with its pivots, the least and the largest id there, not with each other,
+so a group of any size costs two rows per member and band, and pivots come from a
+map-side combined minimum and maximum.  Pairs that share a band but are not in one
+component afterwards are still open.  Jaccard distance is a metric, so a pair whose
+distances to a pivot differ by more than the largest distance of a link is none, nor
+is one whose set sizes differ too much; only what these bounds leave is compared.
+No link between different texts is lost to the choice of pivots.
 
 Links are pairs whose exact Jaccard similarity of shingle sets is at least
 ``SIMILARITY``; classes are their connected components, found by minimum labels with
@@ -95,11 +98,12 @@ def signatures(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int
     rate = weights.astype(float)
     step = np.uint64(0)
     while len(text):
-        step += np.uint64(1)
-        draw = mix(mix(hashes + step * _STEP) ^ _INTERVAL)
+        step = step + np.uint64(1)
+        turn = np.multiply([step], _STEP)
+        draw = mix(mix(hashes + turn) ^ _INTERVAL)
         uniform = ((draw >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
         arrival = arrival - np.log(uniform) / rate
-        register = (mix(mix(hashes ^ _REGISTER) + step * _STEP) % np.uint64(registers)).astype(np.int64)
+        register = (mix(mix(hashes ^ _REGISTER) + turn) % np.uint64(registers)).astype(np.int64)
         cell = text * registers + register
         np.minimum.at(first, cell, arrival)
         won = first[cell] == arrival
@@ -116,17 +120,19 @@ def _signer(bands: int, rows: int):
             for at, to in steps(batch.column(1)):
                 keys, bounds = word_keys(batch.column(1)[at:to])
                 filled = np.diff(bounds) > 0
-                found = signatures(*weighted(*shingles(keys, bounds)), to - at, bands * rows).reshape(-1, bands, rows)
+                found_text, hashes, weights = weighted(*shingles(keys, bounds))
+                found = signatures(found_text, hashes, weights, to - at, bands * rows).reshape(-1, bands, rows)
                 band = np.broadcast_to(np.arange(bands, dtype=np.uint64), found.shape[:2]) + np.uint64(1)
                 for k in range(rows):
                     band = mix(band * np.uint64(0x100000001B3) + found[:, :, k])
+                sizes = np.bincount(found_text, minlength=to - at)
                 digests = [xxh(keys[a:b].tobytes()) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
                 # a text without words has no band
                 cuts = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
                 flat = pa.array(band[filled].ravel().view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[at:to], pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(cuts), flat)],
-                    names=["doc_id", "digest", "bands"],
+                    [batch.column(0)[at:to], pa.array(digests, pa.binary()), pa.array(sizes), pa.ListArray.from_arrays(pa.array(cuts), flat)],
+                    names=["doc_id", "digest", "size", "bands"],
                 )
 
     return sign
@@ -158,15 +164,16 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose texts (doc_id, text) have at least that exact similarity."""
+def similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """a, b, similarity of the rows (a, b) of ``pairs``: the exact one of their texts (doc_id, text)."""
     ids = pairs.select(F.col("a").alias("needed")).union(pairs.select("b")).distinct()
     sets = docs.join(ids, F.col("doc_id") == F.col("needed"), "left_semi").mapInArrow(_sets, "doc_id bigint, shingles binary")
     sets = materialise(sets, "shingles")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_similar, "a bigint, b bigint, similarity double").filter(F.col("similarity") >= similarity).select("a", "b").distinct()
+    judged = both.mapInArrow(_similar, "a bigint, b bigint, similarity double")
+    return materialise(judged.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "similarities")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -195,25 +202,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and text columns are read.
     """
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialise(rows_in.mapInArrow(_signer(bands, rows), "doc_id bigint, digest binary, bands array<bigint>"), "signed")
+    signed = materialise(rows_in.mapInArrow(_signer(bands, rows), "doc_id bigint, digest binary, size bigint, bands array<bigint>"), "signed")
     real = signed.filter("doc_id is not null and digest is not null")
-    texts = materialise(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "texts")
-    banded = texts.select("rep", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot <> last")
-    shared = materialise(banded.join(buckets.select("band", "pivot"), "band"), "buckets")
-    tried = materialise(shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    texts = materialise(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "texts")
+    banded = texts.select("rep", "size", F.explode("bands").alias("band"))
+    buckets = banded.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
+    shared = materialise(banded.join(buckets, "band"), "buckets")
+    tried = shared.select(F.col("low").alias("a"), F.col("rep").alias("b")).union(shared.select("rep", "high")).filter("a <> b").distinct()
     known = rows_in.filter("doc_id is not null")
-    links = materialise(verified(tried, known, similarity), "links")
+    judged = similarities(materialise(tried, "pairs"), known)
+    links = judged.filter(F.col("similarity") >= similarity).select("a", "b")
     first = components(links)
     # what a band holds of more than one component: the pairs that the pivots left open
-    placed = shared.join(first, F.col("rep") == F.col("node"), "left").select("band", "rep", F.coalesce("label", "rep").alias("part"))
-    mixed = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("band")
-    placed = materialise(placed.join(mixed, "band", "left_semi"), "open")
-    right = placed.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"))
-    open_pairs = placed.withColumnRenamed("rep", "a").join(right, "band").filter("a < b and part <> part_b").select("a", "b").distinct()
-    open_pairs = materialise(open_pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = verified(open_pairs, known, similarity)
-    links = materialise(links.union(more), "links")
+    placed = shared.join(first, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("label", "rep")).drop("node", "label")
+    mixed = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
+    to_low = judged.select(F.col("a").alias("low"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("from_low"))
+    to_high = judged.select(F.col("a").alias("rep"), F.col("b").alias("high"), (1 - F.col("similarity")).alias("from_high"))
+    placed = placed.join(mixed, "band", "left_semi").join(to_low, ["low", "rep"], "left").join(to_high, ["rep", "high"], "left")
+    placed = materialise(placed.select("band", "rep", "part", "size", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("from_low", "from_high"))), "open")
+    x, y = placed.alias("x"), placed.alias("y")
+    far = 1 - similarity + 1e-9
+    possible = (
+        (F.col("x.band") == F.col("y.band"))
+        & (F.col("x.rep") < F.col("y.rep"))
+        & (F.col("x.part") != F.col("y.part"))
+        & (F.col("x.size") >= similarity * F.col("y.size"))
+        & (F.col("y.size") >= similarity * F.col("x.size"))
+        & (F.abs(F.col("x.from_low") - F.col("y.from_low")) <= far)
+        & (F.abs(F.col("x.from_high") - F.col("y.from_high")) <= far)
+    )
+    open_pairs = x.join(y, possible).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    open_pairs = materialise(open_pairs.join(judged, ["a", "b"], "left_anti"), "pairs")
+    more = similarities(open_pairs, known).filter(F.col("similarity") >= similarity).select("a", "b")
+    links = materialise(links.union(more).distinct(), "links")
     labels = components(links)
     degree = links.select("a").union(links.select("b")).groupBy("a").count()
     classes = texts.join(labels, F.col("rep") == F.col("node"), "left").join(degree, F.col("rep") == F.col("a"), "left")
