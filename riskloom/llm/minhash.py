@@ -10,13 +10,15 @@ first, so two texts agree in a register with their probability Jaccard similarit
 A shingle stops once its next arrival is later than the last register's first.
 
 Candidates.  ``BANDS`` bands of ``ROWS`` registers; texts that share a band are
-compared with its pivots, the least and the largest id there, not with each other,
-so a group of any size costs two rows per member and band, and pivots come from a
-map-side combined minimum and maximum.  Pairs that share a band but are not in one
-component afterwards are still open.  Jaccard distance is a metric, so a pair whose
-distances to a pivot differ by more than the largest distance of a link is none, nor
-is one whose set sizes differ too much; only what these bounds leave is compared.
-No link between different texts is lost to the choice of pivots.
+compared with the least id there, not with each other, so a group of any size costs
+one row per member and band, and the least id comes from a map-side combined
+minimum.  Texts in bands that afterwards still hold more than one component are
+open.  Sets with a link share one of their first ``n - ceil(similarity * n) + 1``
+shingles in any fixed order of shingles; taken rarest first, this joins open texts
+into families, and passages that many texts share bring none together.  In a family
+the texts outside its largest component are compared with all others, block by
+block as matrix products, so pairs never become rows.  No link between different
+texts is lost to pivots.
 
 Links are pairs whose exact Jaccard similarity of shingle sets is at least
 ``SIMILARITY``; classes are their connected components, found by minimum labels with
@@ -31,15 +33,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from riskloom.llm.common import batch_words, mix, steps
 from riskloom.sources.scratch import materialise
-from xxhash import xxh3_64_intdigest
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 ROWS = 4
+# Open texts that a block compares with as many others, and shingles at once.
+BLOCK = 256
+SLICE = 4096
+# Counts that order shingles by rarity.
+SLOTS = 1 << 18
 _SIGNS = ".,;:!?\"'()[]{}*#|-"
 _INTERVAL, _REGISTER, _STEP = np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35), np.uint64(0x9E3779B97F4A7C15)
 
@@ -126,7 +133,7 @@ def _signer(bands: int, rows: int):
                 for k in range(rows):
                     band = mix(band * np.uint64(0x100000001B3) + found[:, :, k])
                 sizes = np.bincount(found_text, minlength=to - at)
-                digests = [xxh(keys[a:b].tobytes()) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
+                digests = [xxh3_128_digest(keys[a:b].tobytes()) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
                 # a text without words has no band
                 cuts = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
                 flat = pa.array(band[filled].ravel().view(np.int64))
@@ -138,12 +145,6 @@ def _signer(bands: int, rows: int):
     return sign
 
 
-def xxh(data: bytes) -> bytes:
-    from xxhash import xxh3_128_digest
-
-    return xxh3_128_digest(data)
-
-
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted distinct shingle hashes of each text."""
     for batch in batches:
@@ -164,16 +165,108 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
-def similarities(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """a, b, similarity of the rows (a, b) of ``pairs``: the exact one of their texts (doc_id, text)."""
-    ids = pairs.select(F.col("a").alias("needed")).union(pairs.select("b")).distinct()
-    sets = docs.join(ids, F.col("doc_id") == F.col("needed"), "left_semi").mapInArrow(_sets, "doc_id bigint, shingles binary")
-    sets = materialise(sets, "shingles")
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, shingles of the rows of ``docs`` (doc_id, text) that ``ids`` (needed) names, written."""
+    named = docs.join(ids, F.col("doc_id") == F.col("needed"), "left_semi")
+    return materialise(named.mapInArrow(_sets, "doc_id bigint, shingles binary"), "shingles")
+
+
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, similarity of the rows (a, b) of ``pairs``: the exact one of their shingle sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    judged = both.mapInArrow(_similar, "a bigint, b bigint, similarity double")
-    return materialise(judged.groupBy("a", "b").agg(F.max("similarity").alias("similarity")), "similarities")
+    return both.mapInArrow(_similar, "a bigint, b bigint, similarity double")
+
+
+def _prefixes(levels, similarity: float):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity = levels.value
+        for batch in batches:
+            ids, hashes = [], []
+            for doc_id, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(cell.as_py(), np.uint64)
+                order = np.lexsort((own, rarity[(own % np.uint64(SLOTS)).astype(np.int64)]))
+                first = own[order][: len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1]
+                ids.append(np.full(len(first), doc_id))
+                hashes.append(first.view(np.int64))
+            columns = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (ids, hashes)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["rep", "shingle"])
+
+    return cut
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for cell in batch.column("shingles"):
+            counts[(np.frombuffer(cell.as_py(), np.uint64) % np.uint64(SLOTS)).astype(np.int64)] += 1
+    met = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["slot", "n"])
+
+
+def _compare(similarity: float):
+    def compare(group: pa.Table) -> pa.Table:
+        """Links between the row texts and the column texts of a block that are of different parts."""
+        reps, parts = group["rep"].to_numpy(), group["part"].to_numpy()
+        is_row = group["is_row"].to_numpy(zero_copy_only=False).astype(bool)
+        cells = [np.frombuffer(c.as_py(), np.uint64) for c in group["shingles"]]
+        sizes = np.array([len(c) for c in cells])
+        kinds, place, counts = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(cells)), sizes)
+        rank = np.cumsum(counts > 1) - 1  # shingles of one text alone are in no intersection
+        real = counts[place] > 1
+        owner, place = owner[real], rank[place[real]]
+        order = np.argsort(place, kind="stable")
+        owner, place = owner[order], place[order]
+        rows, columns = np.flatnonzero(is_row), np.flatnonzero(~is_row)
+        both = np.zeros((len(rows), len(columns)), np.float32)
+        for low in range(0, int((counts > 1).sum()), SLICE):
+            a, b = np.searchsorted(place, [low, low + SLICE])
+            present = np.zeros((len(cells), SLICE), np.float32)
+            present[owner[a:b], place[a:b] - low] = 1
+            both += present[rows] @ present[columns].T
+        union = sizes[rows][:, None] + sizes[columns][None, :] - both
+        hit = (both >= similarity * union - 1e-6) & (parts[rows][:, None] != parts[columns][None, :])
+        x, y = np.nonzero(hit)
+        x, y = reps[rows[x]], reps[columns[y]]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+    return compare
+
+
+def open_links(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b: links between texts of ``placed`` (rep, part, size) that are of different parts.
+
+    The order of shingles is by how many open texts fill their slot of a table of
+    ``SLOTS`` counts, a fixed size; an inexact count only makes it less sharp.
+    """
+    spark = placed.sparkSession
+    counts = np.zeros(SLOTS, np.int64)
+    slots = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counts[slots["slot"]] = slots["n"]  # SLOTS rows at most
+    levels = spark.sparkContext.broadcast(np.log2(counts + 1).astype(np.uint8))
+    prefixes = sets.mapInArrow(_prefixes(levels, similarity), "rep bigint, shingle bigint").join(placed.select("rep", "part"), "rep")
+    prefixes = materialise(prefixes, "prefixes")
+    mixed = prefixes.groupBy("shingle").agg(F.min("rep").alias("first"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
+    met = prefixes.join(mixed.select("shingle", "first"), "shingle").filter("rep <> first")
+    families = components(met.select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct())
+    members = placed.join(families, F.col("rep") == F.col("node")).select("rep", "part", F.col("label").alias("family"))
+    members = materialise(members, "members")
+    by_part = members.groupBy("family", "part").agg(F.count("*").alias("n"))
+    shape = by_part.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts"))
+    shape = shape.filter("parts > 1").select(
+        "family",
+        F.col("most.part").alias("main"),
+        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("row_blocks"),
+        F.ceil(F.col("all") / BLOCK).cast("int").alias("column_blocks"),
+    )
+    dealt = members.join(shape, "family").withColumn("h", F.xxhash64("rep"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    as_columns = dealt.select("family", "rep", "part", F.lit(False).alias("is_row"), every("row_blocks").alias("row_block"), F.pmod("h", "column_blocks").cast("int").alias("column_block"))
+    as_rows = dealt.filter("part <> main").select("family", "rep", "part", F.lit(True).alias("is_row"), F.pmod("h", "row_blocks").cast("int").alias("row_block"), every("column_blocks").alias("column_block"))
+    blocks = as_columns.unionByName(as_rows).join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")
+    return blocks.groupBy("family", "row_block", "column_block").applyInArrow(_compare(similarity), "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -206,34 +299,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     real = signed.filter("doc_id is not null and digest is not null")
     texts = materialise(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")), "texts")
     banded = texts.select("rep", "size", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
-    shared = materialise(banded.join(buckets, "band"), "buckets")
-    tried = shared.select(F.col("low").alias("a"), F.col("rep").alias("b")).union(shared.select("rep", "high")).filter("a <> b").distinct()
+    buckets = banded.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).filter("pivot <> last")
+    shared = materialise(banded.join(buckets.select("band", "pivot"), "band"), "buckets")
+    tried = materialise(shared.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
     known = rows_in.filter("doc_id is not null")
-    judged = similarities(materialise(tried, "pairs"), known)
-    links = judged.filter(F.col("similarity") >= similarity).select("a", "b")
+    sets = shingle_sets(known, shared.select(F.col("rep").alias("needed")).distinct())
+    links = materialise(similarities(tried, sets).filter(F.col("similarity") >= similarity).select("a", "b").distinct(), "links")
     first = components(links)
-    # what a band holds of more than one component: the pairs that the pivots left open
-    placed = shared.join(first, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("label", "rep")).drop("node", "label")
+    placed = shared.join(first, F.col("rep") == F.col("node"), "left").select("band", "rep", "size", F.coalesce("label", "rep").alias("part"))
     mixed = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
-    to_low = judged.select(F.col("a").alias("low"), F.col("b").alias("rep"), (1 - F.col("similarity")).alias("from_low"))
-    to_high = judged.select(F.col("a").alias("rep"), F.col("b").alias("high"), (1 - F.col("similarity")).alias("from_high"))
-    placed = placed.join(mixed, "band", "left_semi").join(to_low, ["low", "rep"], "left").join(to_high, ["rep", "high"], "left")
-    placed = materialise(placed.select("band", "rep", "part", "size", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("from_low", "from_high"))), "open")
-    x, y = placed.alias("x"), placed.alias("y")
-    far = 1 - similarity + 1e-9
-    possible = (
-        (F.col("x.band") == F.col("y.band"))
-        & (F.col("x.rep") < F.col("y.rep"))
-        & (F.col("x.part") != F.col("y.part"))
-        & (F.col("x.size") >= similarity * F.col("y.size"))
-        & (F.col("y.size") >= similarity * F.col("x.size"))
-        & (F.abs(F.col("x.from_low") - F.col("y.from_low")) <= far)
-        & (F.abs(F.col("x.from_high") - F.col("y.from_high")) <= far)
-    )
-    open_pairs = x.join(y, possible).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    open_pairs = materialise(open_pairs.join(judged, ["a", "b"], "left_anti"), "pairs")
-    more = similarities(open_pairs, known).filter(F.col("similarity") >= similarity).select("a", "b")
+    placed = materialise(placed.join(mixed, "band", "left_semi").select("rep", "size", "part").distinct(), "open")
+    left_open = sets.join(placed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    more = open_links(placed, left_open, similarity)
     links = materialise(links.union(more).distinct(), "links")
     labels = components(links)
     degree = links.select("a").union(links.select("b")).groupBy("a").count()
