@@ -1,20 +1,61 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next.
+
+Every stage but the last returns rows of its input with all their columns, so
+columns of any name pass through.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import packing
+from riskloom.llm import decontaminate, langid, minhash, packing, toxicity
 from riskloom.llm.common import table
 from riskloom.sources.scratch import materialise
 
+# Texts in no known language, or spread over several, score lower than this.
+LEAST_LANGUAGE = 0.3
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic; NULL and empty texts stay."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return docs.filter(toxicity.toxicity(F.col("text").cast("string"), model, spark)["score"] < 0.5)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; NULL texts and those without a letter go."""
+    found = langid.predict(F.col("text").cast("string"), langid.train(docs), spark)
+    return docs.filter(found["score"] >= LEAST_LANGUAGE)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each near-duplicate class; of rows with equal ids one stays.
+
+    Rows with a NULL id are in no class and stay.
+    """
+    kept = minhash.near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.filter("doc_id is not null").join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id is null"))
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty lies in a benchmark window."""
+    return decontaminate.without_hits(docs, table(spark, sf_dir, "benchmark"))
+
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row per piece."""
     return packing.pack_documents(docs, "word_bpe_49k.json", end_id=0)
 
 
-STAGES = [("packing", packed)]
+STAGES = [
+    ("toxicity", clean),
+    ("language_id", known_language),
+    ("near_duplicates", distinct_texts),
+    ("decontamination", uncontaminated),
+    ("packing", packed),
+]
+# Model fits and packing have no SQL; tests compare each stage with its own rule.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, langid, lm_bloom, minhash, packing, quality_llr, token_counts, token_planes, toxicity
+from riskloom.llm import decontaminate, langid, lm_bloom, minhash, packing, quality_llr, token_counts, token_planes, toxicity, url_tree
 from riskloom.llm.common import table
 from riskloom.sources.scratch import scratch_path
 
@@ -41,6 +41,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_llr.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_url_tree")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge_urls(table(spark, sf_dir, "pages"))
+
+
 @query("op6_decontamination")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
