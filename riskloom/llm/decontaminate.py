@@ -66,8 +66,9 @@ def hit_spans(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_
     anchors = windows.select(F.col("anchor").alias("word")).distinct()
     found = loose.join(near(anchors), "word", "left_semi")
     found = found.groupBy(F.col("id").alias("found_id"), F.col("digest").alias("found_digest")).agg(F.collect_set("raw").alias("raws"))
-    # the same rows again, now with exact words; only those with positions stay
-    texts = docs.select(*key, text.alias("t")).distinct()
+    # the same rows again, now with exact words; only those with positions stay, and
+    # equal rows give equal hits, which the end makes one
+    texts = docs.select(*key, text.alias("t"))
     texts = texts.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("digest") == F.col("found_digest")))
     texts = texts.select("id", "digest", exact_words(F.col("t")).alias("w"), "raws", F.col("t").rlike("^" + SEPARATORS).cast("int").alias("lead"))
     reach = window - 1
