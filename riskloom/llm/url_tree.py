@@ -19,8 +19,6 @@ counted by map-side combined aggregates and never meets in one task.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riskloom.sources.scratch import materialise
@@ -73,18 +71,23 @@ def _segments(path: Column, depth: int) -> Column:
 
 
 def templates(counted: DataFrame, depth: int = DEPTH, most_children: int = MOST_CHILDREN, least_each: float = LEAST_EACH) -> DataFrame:
-    """Adds ``template`` (segments generalised) to rows of host, path, n (rows), labelled, blocked."""
+    """Adds ``template`` (segments generalised) to rows of host, path, n (rows), labelled, blocked; written.
+
+    Each level is a written table, since the next one reads it twice; levels that no
+    path reaches are left out.
+    """
     tree = counted.withColumn("seg", _segments(F.col("path"), depth)).withColumn("template", F.array().cast("array<string>"))
-    for level in range(1, depth + 2):
-        here = F.element_at("seg", F.lit(level))
+    tree = materialise(tree, "tree")
+    deepest = tree.agg(F.max(F.size("seg"))).first()[0] or 0
+    for level in range(1, deepest + 1):
+        tree = tree.withColumn("child", F.when(F.size("seg") >= level, F.element_at("seg", F.lit(level))))
         # counts per distinct child first, then per parent: a hot parent has as many rows as children
-        tree = tree.withColumn("child", F.when(F.size("seg") >= level, here))
         children = tree.filter(F.col("child").isNotNull()).groupBy("host", "template", "child").agg(F.sum("n").alias("n"))
         wide = children.filter("child <> '*'").groupBy("host", "template").agg(F.count("*").alias("kinds"), F.sum("n").alias("rows"))
         wide = wide.filter((F.col("kinds") > most_children) & (F.col("rows") <= least_each * F.col("kinds"))).select("host", "template", F.lit(True).alias("variable"))
         tree = tree.join(wide, ["host", "template"], "left")
         step = F.when(F.col("child").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.when(F.col("variable"), F.lit("*")).otherwise(F.col("child"))))
-        tree = tree.withColumn("template", F.concat("template", step)).drop("variable", "child")
+        tree = materialise(tree.withColumn("template", F.concat("template", step)).drop("variable", "child"), "tree")
     return tree.drop("seg")
 
 
@@ -92,7 +95,7 @@ def _smoothed(blocked: Column, labelled: Column, parent: Column, prior: float) -
     return (blocked + prior * parent) / (labelled + prior)
 
 
-def purities(tree: DataFrame, depth: int = DEPTH, merge_z: float = MERGE_Z, prior: float = PRIOR) -> DataFrame:
+def purities(tree: DataFrame, merge_z: float = MERGE_Z, prior: float = PRIOR) -> DataFrame:
     """host, template, purity of every template of ``tree`` (host, template, n, labelled, blocked)."""
     leaves = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
     leaves = materialise(leaves, "templates")
@@ -108,8 +111,9 @@ def purities(tree: DataFrame, depth: int = DEPTH, merge_z: float = MERGE_Z, prio
     ordered = F.array_sort(F.collect_list(F.struct("place", "labelled", "blocked")))
     from_root = F.aggregate(ordered, F.lit(root), lambda above, d: _smoothed(d["blocked"], d["labelled"], above, prior))
     of_host = placed.groupBy("host").agg(from_root.alias("above"))
-    level = leaves.join(of_host, "host").select("host", "template", "above", F.array().cast("array<string>").alias("branch"))
-    for k in range(1, depth + 2):
+    level = leaves.join(of_host, "host").select("host", "template", "above")
+    deepest = leaves.agg(F.max(F.size("template"))).first()[0] or 0
+    for k in range(1, deepest + 1):
         nodes = leaves.filter(F.size("template") >= k).groupBy("host", F.slice("template", 1, k).alias("node"))
         nodes = nodes.agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
         siblings = W.partitionBy("host", F.slice("node", 1, k - 1)) if k > 1 else W.partitionBy("host")
@@ -146,8 +150,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_col: s
         F.sum(F.col("hit").isNotNull().cast("bigint")).alias("labelled"),
         F.sum(F.coalesce(blocked, F.lit(0).cast("bigint"))).alias("blocked"),
     )
-    tree = materialise(templates(counted, depth), "tree")
-    pure = purities(tree, depth)
+    tree = templates(counted, depth)
+    pure = purities(tree)
     known = tree.select("host", "path", "template").join(pure, ["host", "template"])
     judged = parsed.join(known, ["host", "path"], "left")
     labels = tree.agg(F.sum("labelled")).first()[0] or 0
