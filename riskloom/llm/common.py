@@ -91,7 +91,7 @@ class ChunkIds:
                 return b"".join([self.bytes[p.id] for p in self.pieces(chunk.lower())])
             if max(chunk) < "\u0100":  # here lower-casing has no context and nothing composes
                 return b"".join([self.bytes[p.id] for p in self.pieces(chunk.lower().translate(_BYTE_LEVEL))])
-        elif chunk[-1:] in (",", ".") and chunk[:-1].isalpha():  # two
+        elif chunk[-1:] in (",", ".") and chunk[:-1].isalpha() and max(chunk) < "\u0100":  # two
             return self(chunk[:-1]) + self(chunk[-1])
         return b"".join([self.bytes[i] for i in self.encode(chunk, add_special_tokens=False).ids])
 

@@ -149,7 +149,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     h = F.xxhash64("id")
     at = F.pmod(h, F.greatest(F.length("text") - SEGMENT, F.lit(0)) + 1).cast("int") + 1
     cut = rows.select("lang", "id", h.alias("h"), F.substring("text", at, F.lit(SEGMENT)).alias("cut"))
-    # the rank limit is applied before the shuffle too, so no language meets in one task
+    # by a hash threshold about twice as many as needed remain of each language, so that none fills one task;
+    # should the threshold be unlucky for a rare language, all its rows remain
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "own")
+    share = (F.col("h") / 2.0**64 + 0.5) * F.col("rows") <= F.lit(2.0 * per_language)
+    cut = cut.join(sizes, F.col("lang") == F.col("own")).filter(share | (F.col("rows") <= 20 * per_language)).drop("own", "rows")
     first = W.partitionBy("lang").orderBy("h", "id", "cut")
     sample = cut.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
     got = sorted((r["lang"], r["h"], r["id"], r["cut"]) for r in sample.collect())

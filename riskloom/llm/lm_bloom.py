@@ -38,8 +38,8 @@ HASHES = 4
 BITS_EACH = 10
 MAX_BYTES = 48 << 20
 # N-grams that a shard is meant to count, and that a task gathers before it sends them.
-SHARD_GRAMS = 4_000_000
-GATHERED = 2_000_000
+SHARD_GRAMS = 1_000_000
+GATHERED = 1_000_000
 PRIOR = 200.0
 # Words whose exact counts go to every worker; the rest is joined.
 HEAD = 100_000

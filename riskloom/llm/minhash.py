@@ -71,7 +71,7 @@ def shingles(keys: np.ndarray, bounds: np.ndarray, size: int = SHINGLE) -> tuple
     counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
     rolled = np.zeros(max(len(keys) - size + 1, 0), np.uint64)
     for k in range(size):
-        rolled = mix(rolled * np.uint64(0x100000001B3) + keys[k : len(keys) - size + 1 + k])
+        rolled = mix(rolled * np.uint64(0x100000001B3) + keys[k : k + len(rolled)])
     out_bounds = np.concatenate([[0], np.cumsum(counts)])
     text = np.repeat(np.arange(len(n)), counts)
     within = np.arange(out_bounds[-1]) - out_bounds[text]
