@@ -14,11 +14,12 @@ compared with the least id there, not with each other, so a group of any size co
 one row per member and band, and the least id comes from a map-side combined
 minimum.  Texts in bands that afterwards still hold more than one component are
 open.  Sets with a link share one of their first ``n - ceil(similarity * n) + 1``
-shingles in any fixed order of shingles; taken rarest first, this joins open texts
-into families, and passages that many texts share bring none together.  In a family
-the texts outside its largest component are compared with all others, block by
-block as matrix products, so pairs never become rows.  No link between different
-texts is lost to pivots.
+shingles in any fixed order of shingles; taken rarest first, this finds what open
+texts are left to compare, and passages that many texts share bring none together.
+Texts of the smaller component are put in blocks by pivot, and a block is compared
+with all texts of larger components that share such a shingle with any of it, as
+matrix products, so pairs never become rows.  No link between different texts is
+lost to pivots.
 
 Links are pairs whose exact Jaccard similarity of shingle sets is at least
 ``SIMILARITY``; classes are their connected components, found by minimum labels with
@@ -236,7 +237,7 @@ def _compare(similarity: float):
 
 
 def open_links(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """a, b: links between texts of ``placed`` (rep, part, size) that are of different parts.
+    """a, b: links between texts of ``placed`` (rep, pivot, part, size) that are of different parts.
 
     The order of shingles is by how many open texts fill their slot of a table of
     ``SLOTS`` counts, a fixed size; an inexact count only makes it less sharp.
@@ -246,27 +247,35 @@ def open_links(placed: DataFrame, sets: DataFrame, similarity: float) -> DataFra
     slots = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     counts[slots["slot"]] = slots["n"]  # SLOTS rows at most
     levels = spark.sparkContext.broadcast(np.log2(counts + 1).astype(np.uint8))
-    prefixes = sets.mapInArrow(_prefixes(levels, similarity), "rep bigint, shingle bigint").join(placed.select("rep", "part"), "rep")
+    # blocks of texts with one pivot, its largest part apart; ``turn`` orders parts by size
+    parts = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", F.struct("n", "part").alias("turn"))
+    turned = placed.join(parts, "part")
+    largest = turned.groupBy("pivot").agg(F.max("turn").alias("largest"))
+    turned = turned.join(largest, "pivot").withColumn("main", F.col("turn") == F.col("largest"))
+    sizes = turned.groupBy("pivot", "main").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.struct("pivot", "main", F.pmod(F.xxhash64("rep"), "blocks").alias("salt"))
+    turned = turned.join(sizes, ["pivot", "main"]).select("rep", "part", "size", "turn", block.alias("block"))
+    prefixes = sets.mapInArrow(_prefixes(levels, similarity), "rep bigint, shingle bigint").join(turned, "rep")
     prefixes = materialise(prefixes, "prefixes")
-    mixed = prefixes.groupBy("shingle").agg(F.min("rep").alias("first"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q")
-    met = prefixes.join(mixed.select("shingle", "first"), "shingle").filter("rep <> first")
-    families = components(met.select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct())
-    members = placed.join(families, F.col("rep") == F.col("node")).select("rep", "part", F.col("label").alias("family"))
-    members = materialise(members, "members")
-    by_part = members.groupBy("family", "part").agg(F.count("*").alias("n"))
-    shape = by_part.groupBy("family").agg(F.sum("n").alias("all"), F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts"))
-    shape = shape.filter("parts > 1").select(
-        "family",
-        F.col("most.part").alias("main"),
-        F.ceil((F.col("all") - F.col("most.n")) / BLOCK).cast("int").alias("row_blocks"),
-        F.ceil(F.col("all") / BLOCK).cast("int").alias("column_blocks"),
+    mixed = prefixes.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
+    prefixes = prefixes.join(mixed, "shingle", "left_semi")
+    held = prefixes.groupBy("shingle", "block").agg(F.min("turn").alias("least"), F.min("size").alias("low"), F.max("size").alias("high"))
+    columns = prefixes.select("shingle", "rep", "part", "turn", "size").alias("c")
+    meets = (
+        (F.col("h.shingle") == F.col("c.shingle"))
+        & (F.col("c.turn") > F.col("h.least"))
+        & (F.col("c.size") >= similarity * F.col("h.low"))
+        & (F.col("h.high") >= similarity * F.col("c.size"))
     )
-    dealt = members.join(shape, "family").withColumn("h", F.xxhash64("rep"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    as_columns = dealt.select("family", "rep", "part", F.lit(False).alias("is_row"), every("row_blocks").alias("row_block"), F.pmod("h", "column_blocks").cast("int").alias("column_block"))
-    as_rows = dealt.filter("part <> main").select("family", "rep", "part", F.lit(True).alias("is_row"), F.pmod("h", "row_blocks").cast("int").alias("row_block"), every("column_blocks").alias("column_block"))
-    blocks = as_columns.unionByName(as_rows).join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")
-    return blocks.groupBy("family", "row_block", "column_block").applyInArrow(_compare(similarity), "a bigint, b bigint").distinct()
+    columns = held.alias("h").join(columns, meets).select("h.block", "c.rep", "c.part").distinct()
+    columns = materialise(columns, "columns")
+    splits = columns.groupBy("block").agg(F.ceil(F.count("*") / (4 * BLOCK)).cast("int").alias("splits"))
+    columns = columns.join(splits, "block").select("block", F.pmod(F.xxhash64("rep"), "splits").cast("int").alias("split"), "rep", "part", F.lit(False).alias("is_row"))
+    every = F.explode(F.sequence(F.lit(0), F.col("splits") - 1))
+    rows = turned.join(splits, "block").select("block", every.alias("split"), "rep", "part", F.lit(True).alias("is_row"))
+    blocks = rows.unionByName(columns).join(sets, F.col("rep") == F.col("doc_id"))
+    blocks = blocks.select("block", "split", "rep", "part", "is_row", "shingles")
+    return blocks.groupBy("block", "split").applyInArrow(_compare(similarity), "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -306,9 +315,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = shingle_sets(known, shared.select(F.col("rep").alias("needed")).distinct())
     links = materialise(similarities(tried, sets).filter(F.col("similarity") >= similarity).select("a", "b").distinct(), "links")
     first = components(links)
-    placed = shared.join(first, F.col("rep") == F.col("node"), "left").select("band", "rep", "size", F.coalesce("label", "rep").alias("part"))
+    placed = shared.join(first, F.col("rep") == F.col("node"), "left").select("band", "rep", "pivot", "size", F.coalesce("label", "rep").alias("part"))
     mixed = placed.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("band")
-    placed = materialise(placed.join(mixed, "band", "left_semi").select("rep", "size", "part").distinct(), "open")
+    placed = placed.join(mixed, "band", "left_semi").groupBy("rep", "size", "part").agg(F.min("pivot").alias("pivot"))
+    placed = materialise(placed, "open")
     left_open = sets.join(placed.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     more = open_links(placed, left_open, similarity)
     links = materialise(links.union(more).distinct(), "links")
