@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from riskloom.llm.common import batch_words, mix, steps
@@ -46,6 +46,8 @@ ROWS = 4
 # Open texts that a block compares with as many others, and shingles at once.
 BLOCK = 256
 SLICE = 4096
+# Bits that foretell whether a text is needed, in rows of the size Spark's bitmaps have.
+ID_BITS, BITMAP_BITS = 1 << 24, 32768
 # Counts that order shingles by rarity.
 SLOTS = 1 << 18
 _SIGNS = ".,;:!?\"'()[]{}*#|-"
@@ -166,9 +168,25 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
+def _slot(key: str) -> tuple[Column, Column]:
+    """Row and bit of an id in the table of ``ID_BITS`` bits."""
+    slot = F.pmod(F.xxhash64(key), F.lit(ID_BITS))
+    return F.floor(slot / BITMAP_BITS), slot % BITMAP_BITS
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """doc_id, shingles of the rows of ``docs`` (doc_id, text) that ``ids`` (needed) names, written."""
-    named = docs.join(ids, F.col("doc_id") == F.col("needed"), "left_semi")
+    """doc_id, shingles of the rows of ``docs`` (doc_id, text) that ``ids`` (needed) names, written.
+
+    A table of ``ID_BITS`` bits, a fixed size, drops most other rows before their
+    texts are shuffled for the exact join.
+    """
+    row, bit = _slot("needed")
+    bitmap = ids.select(row.alias("bits_row"), bit.alias("bit")).groupBy("bits_row").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    row, bit = _slot("doc_id")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(bit / 8 as int) + 1, 1)")), 16, 10).cast("int")
+    likely = docs.withColumns({"bits_row": row, "bit": bit}).join(F.broadcast(bitmap), "bits_row")
+    likely = likely.filter(F.call_function("shiftright", byte, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    named = likely.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("needed"), "left_semi")
     return materialise(named.mapInArrow(_sets, "doc_id bigint, shingles binary"), "shingles")
 
 
