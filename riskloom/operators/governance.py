@@ -49,13 +49,13 @@ def split_filter(df: DataFrame, group: str, label: str) -> DataFrame:
 
 
 def numeric_features(
-    df: DataFrame, wanted: Sequence[str], target: str | None = None, fallback: int = 50
+    df: DataFrame, wanted: Sequence[str], target: str | None = None
 ) -> list[str]:
-    """Wanted columns that exist, are numeric and are not the target; else the first numeric columns."""
+    """Wanted columns that exist, are numeric and are not the target; else all numeric columns."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name != target]
     known = set(numeric)
     kept = [c for c in wanted if c in known]
-    return kept or numeric[:fallback]
+    return kept or numeric
 
 
 def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -17,19 +17,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from riskloom.functions.scalar import quoted
-from riskloom.sources.scratch import scratch_path, small_table
+from riskloom.sources.scratch import materialise, small_table, working_table
 
 # spark.sql.codegen.maxFields is 100: a select beyond it loses whole-stage codegen.
 AGGREGATES_PER_SELECT = 90
-# Up to this many rows a single ordered window per group is cheap.
-SMALL_ROWS = 1_000_000
 SKETCH_ACCURACY = 10_000
-SUB_BUCKETS = 1024
+SUB_BUCKETS = 256
 # Object hash aggregation falls back to sorting beyond 128 groups.
 SKETCH_GROUPS = 100
 MAX_LONG = 2**63 - 1
-# Range partitions of one global order; beyond it partitions grow (and their sorts spill).
-MAX_PARTS = 20_000
 
 
 def wide_aggregate(
@@ -152,23 +148,20 @@ def order_statistics(
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int],
     accuracy: int = SKETCH_ACCURACY,
-    small_rows: int = SMALL_ROWS,
 ) -> dict[tuple[str, int], Ranked]:
     """Exact values of numeric columns at 1-based ranks among their non-null rows.
 
     A quantile sketch (partial aggregation, no shuffle of rows) brackets each
     rank; the next pass counts rows before each bracket and keeps only values
     inside one, pre-aggregated per distinct value, so a value that fills a third
-    of the table is still one row.  Up to ``small_rows`` rows the bracket is the
-    whole range.  A rank its bracket misses is looked up over the whole range,
-    so the result is exact whatever the sketch returned.
+    of the table is still one row.  Those values are ordered slice by slice, the
+    slices cut by a second sketch.  A rank its bracket misses is looked up over
+    the whole range, so the result is exact whatever the sketches returned.
     """
     found: dict[tuple[str, int], Ranked] = {}
     for kind, cols in number_families(df, list(ranks)).items():
         found.update(
-            long_order_statistics(
-                long_values(df, cols, kind), kind, {c: ranks[c] for c in cols}, counts, accuracy, small_rows
-            )
+            long_order_statistics(long_values(df, cols, kind), kind, {c: ranks[c] for c in cols}, counts, accuracy)
         )
     return found
 
@@ -179,20 +172,17 @@ def long_order_statistics(
     ranks: Mapping[str, Sequence[int]],
     counts: Mapping[str, int],
     accuracy: int = SKETCH_ACCURACY,
-    small_rows: int = SMALL_ROWS,
 ) -> dict[tuple[str, int], Ranked]:
     """``order_statistics`` over rows of (column, value), value of type ``kind`` and never NULL."""
     ranks = {c: sorted({r for r in rs if 1 <= r <= counts[c]}) for c, rs in ranks.items()}
     ranks = {c: rs for c, rs in ranks.items() if rs}
     if not ranks:
         return {}
-    large = {c: rs for c, rs in ranks.items() if counts[c] > small_rows}
-    brackets = _brackets(long, large, counts, accuracy) if large else {}
-    found = _resolve(long, kind, ranks, counts, brackets, small_rows, accuracy)
+    found = _resolve(long, kind, ranks, _brackets(long, ranks, counts, accuracy))
     missed = {c: [r for r in rs if (c, r) not in found] for c, rs in ranks.items()}
     missed = {c: rs for c, rs in missed.items() if rs}
     if missed:
-        found.update(_resolve(long, kind, missed, counts, {}, small_rows, accuracy))
+        found.update(_resolve(long, kind, missed, {}))
     return found
 
 
@@ -227,14 +217,9 @@ def _brackets(
 
 
 def _resolve(
-    long: DataFrame,
-    kind: str,
-    ranks: Mapping[str, Sequence[int]],
-    counts: Mapping[str, int],
-    brackets: Mapping[str, list[tuple[Any, Any]]],
-    small_rows: int,
-    accuracy: int,
+    long: DataFrame, kind: str, ranks: Mapping[str, Sequence[int]], brackets: Mapping[str, list[tuple[Any, Any]]]
 ) -> dict[tuple[str, int], Ranked]:
+    """Ranked values inside the brackets; a column without brackets is one bracket as a whole."""
     spark = long.sparkSession
     cols = list(ranks)
     rows = long.where(F.col("column").isin(*cols))
@@ -242,7 +227,8 @@ def _resolve(
         # columns x brackets, bounded by the schema.  A lookup in an array keeps
         # the generated code small however many columns there are; one CASE per
         # column would outgrow what the JVM compiles.
-        spans = small_table(spark, 
+        spans = small_table(
+            spark,
             [
                 (c, [lo for lo, _ in brackets[c]], [hi for _, hi in brackets[c]]) if c in brackets else (c, None, None)
                 for c in cols
@@ -257,24 +243,16 @@ def _resolve(
         rows = rows.select("column", "cell", F.when(F.col("cell") % 2 == 1, F.col("value")).alias("value"))
     else:
         rows = rows.select("column", F.lit(1).alias("cell"), "value")
-    hist = rows.groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("cnt"))
     # columns x requested ranks, bounded by the schema
     wanted = F.broadcast(
         small_table(spark, [(c, int(r)) for c in cols for r in ranks[c]], "column string, rank bigint")
     )
-    open_rows = max((counts[c] for c in cols if c not in brackets), default=0)
-    inside = max((4 * counts[c] * len(b) // accuracy for c, b in brackets.items()), default=0)
     reached = (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("cnt"))
-    if max(open_rows, inside) <= small_rows:
-        order = W.partitionBy("column").orderBy("cell", "value").rowsBetween(W.unboundedPreceding, -1)
-        located = (
-            hist.withColumn("below", F.coalesce(F.sum("cnt").over(order), F.lit(0)))
-            .join(wanted, "column")
-            .where(reached)
-        )
-    else:
-        hist = _with_sub(hist, rows, cols, brackets)
+    counted = rows.groupBy("column", "cell", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    with working_table(counted, "values") as hist:
+        hist = _with_sub(hist)
         order = W.partitionBy("column").orderBy("cell", "sub").rowsBetween(W.unboundedPreceding, -1)
+        # at most SUB_BUCKETS rows per bracket
         subs = (
             hist.groupBy("column", "cell", "sub")
             .agg(F.sum("cnt").alias("cnt"))
@@ -290,38 +268,19 @@ def _resolve(
             .withColumn("below", F.col("before") + F.coalesce(F.sum("cnt").over(within), F.lit(0)))
             .where(reached)
         )
-    got = located.where(F.col("cell") % 2 == 1).select("column", "rank", "value", "below", "cnt").collect()
+        got = located.where(F.col("cell") % 2 == 1).select("column", "rank", "value", "below", "cnt").collect()
     return {(r["column"], r["rank"]): Ranked(r["value"], r["below"], r["cnt"]) for r in got}
 
 
-def _with_sub(
-    hist: DataFrame, rows: DataFrame, cols: Sequence[str], brackets: Mapping[str, list[tuple[Any, Any]]]
-) -> DataFrame:
-    """Equal-width slices of each bracket: a monotone split that bounds the ordered groups."""
-    spark = hist.sparkSession
-    spans = {c: list(b) for c, b in brackets.items() if c in cols}
-    unknown = [c for c in cols if c not in spans]
-    if unknown:
-        ends = rows.where(F.col("column").isin(*unknown)).groupBy("column").agg(
-            F.min("value").alias("lo"), F.max("value").alias("hi")
-        )
-        spans.update({r["column"]: [(r["lo"], r["hi"])] for r in ends.collect()})  # one row per column
-    table = []
-    for c, pairs in spans.items():
-        for i, (lo, hi) in enumerate(pairs):
-            lo, hi = float(lo), float(hi)
-            usable = math.isfinite(hi - lo) and hi > lo
-            table.append((c, 2 * i + 1, lo if usable else 0.0, hi - lo if usable else 0.0))
-    widths = small_table(spark, table, "column string, cell int, lo double, width double")
-    sub = F.when(
-        F.col("width") > 0, F.floor((F.col("value").cast("double") - F.col("lo")) / F.col("width") * SUB_BUCKETS)
-    )
+def _with_sub(hist: DataFrame) -> DataFrame:
+    """Slices of each bracket with about as many distinct values each: a monotone split, infinite ends included."""
+    probs = F.array(*[F.lit(i / SUB_BUCKETS) for i in range(1, SUB_BUCKETS)])
+    inside = hist.where(F.col("cell") % 2 == 1).groupBy("column", "cell")
+    edges = inside.agg(F.array_distinct(F.percentile_approx("value", probs, 4 * SUB_BUCKETS)).alias("edges"))
     # one row per bracket, bounded by the schema
-    return (
-        hist.join(F.broadcast(widths), ["column", "cell"], "left")
-        .withColumn("sub", F.coalesce(sub, F.lit(0)))
-        .drop("lo", "width")
-    )
+    cut = hist.join(F.broadcast(edges), ["column", "cell"], "left")
+    sub = F.expr("size(filter(edges, e -> e < value))")
+    return cut.withColumn("sub", F.when(F.col("edges").isNull(), F.lit(0)).otherwise(sub)).drop("edges")
 
 
 def quantile_ranks(n: int, q: float) -> tuple[int, int, float]:
@@ -468,37 +427,19 @@ def ntile_column(c: Column, tie: Column, cuts: Mapping[int, Cut], n: int, k: int
 
 
 def with_prefix(
-    df: DataFrame,
-    order: Sequence[Column],
-    sums: Mapping[str, Column],
-    by: Sequence[str] = (),
-    n_rows: int | None = None,
-    rows_per_part: int = 500_000,
-    small_rows: int = SMALL_ROWS,
+    df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column], by: Sequence[str] = (), parts: int | None = None
 ) -> DataFrame:
     """Add inclusive running sums over ``order`` (per ``by`` group).
 
-    Up to ``small_rows`` rows one window per group does it.  Beyond that the
-    rows are range-partitioned on (by, order) - a hot leading value spreads over
-    the following order columns - and written once, so both passes see the same
-    partitions; per-partition totals become offsets and each partition runs its
-    own window.
+    The rows are range-partitioned on (by, order) - a hot leading value spreads
+    over the following order columns - and written once, so both passes see the
+    same partitions; per-partition totals become offsets and each partition runs
+    its own window.  ``parts`` defaults to the session's shuffle partitions.
     """
     names = list(sums)
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows <= small_rows:
-        w = W.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(sums[n]).over(w).alias(n) for n in names])
-    spark = df.sparkSession
-    parts = min(math.ceil(n_rows / rows_per_part), MAX_PARTS)
-    path = scratch_path(spark, "ordered")
-    (
-        df.repartitionByRange(parts, *[quoted(b) for b in by], *order)
-        .withColumn("_part", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    table = spark.read.parquet(path)
+    ranges = [*[quoted(b) for b in by], *order]
+    ranged = df.repartitionByRange(parts, *ranges) if parts else df.repartitionByRange(*ranges)
+    table = materialise(ranged.withColumn("_part", F.spark_partition_id()), "ordered")
     totals = table.groupBy(*by, "_part").agg(*[F.sum(sums[n]).alias(f"_t_{n}") for n in names])
     # groups x partitions rows
     before = W.partitionBy(*(by or [F.lit(0)])).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

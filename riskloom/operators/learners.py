@@ -28,7 +28,7 @@ from riskloom.operators.selection import (
     score_rows,
     top_names,
 )
-from riskloom.operators.stats import anova_f, fs_corr_prune, fs_variance, point_biserial
+from riskloom.operators.stats import anova_f, fs_corr_prune, fs_variance, point_biserial, with_anova_p
 from riskloom.operators.transforms import fit_scaler, scale_expr
 from riskloom.operators.woe import Bins, fit_bins, information_value, mutual_information
 from riskloom.sources.scratch import materialise, scratch_path, small_table
@@ -111,7 +111,7 @@ def fs_lr_l1_cv(
 ) -> DataFrame:
     """L1 with C chosen among 1e-4..1e4 by ROC AUC over stratified folds; carries the chosen C."""
     framed = kfold_assign(_training(df, features, target, "standard", [ident]), "label", ident, folds, seed).persist()
-    n = framed.count()
+    n = framed.count() * (folds - 1) // folds  # rows of one fit
     cs = [10 ** (-4 + 8 * i / max(n_cs - 1, 1)) for i in range(n_cs)]
     lr = logistic(1.0, 1.0, n, max_iter)
     grid = ParamGridBuilder().addGrid(lr.regParam, [1.0 / (c * max(n, 1)) for c in cs]).build()
@@ -125,8 +125,9 @@ def fs_lr_l1_cv(
     )
     fitted = cv.fit(framed)
     best = max(range(len(cs)), key=lambda i: fitted.avgMetrics[i])
+    model = logistic(cs[best], 1.0, framed.count(), max_iter).fit(framed)
     framed.unpersist()
-    scores = [abs(x) for x in fitted.bestModel.coefficients.toArray()]
+    scores = [abs(x) for x in model.coefficients.toArray()]
     return _scores(df, features, scores).withColumn("best_c", F.lit(float(cs[best])))
 
 
@@ -223,14 +224,13 @@ def permutation_importance(
         "label", "x", F.col("s.rep").alias("rep"), ((F.col("idx") - 1 + F.col("s.by")) % n + 1).alias("donor")
     )
     donors = rows.select(F.col("idx").alias("donor"), F.col("x").alias("d"))
-    variants = F.array(
-        *[
-            F.struct(
-                F.lit(j).alias("j"),
-                F.array(*[F.col("d" if i == j else "x")[i] for i in range(p)]).alias("v"),
-            )
-            for j in range(p)
-        ]
+    # one expression whatever the number of features
+    variants = F.transform(
+        F.sequence(F.lit(0), F.lit(p - 1)),
+        lambda j: F.struct(
+            j.alias("j"),
+            F.zip_with("x", F.transform("d", lambda d, i: F.struct(d.alias("d"), (i == j).alias("on"))), lambda x, d: F.when(d["on"], d["d"]).otherwise(x)).alias("v"),
+        ),
     )
     shuffled = wanted.join(donors, "donor").select("label", "rep", F.explode(variants).alias("e")).select(
         "label", "rep", F.col("e.j").alias("j"), F.col("e.v").alias("v")
@@ -277,7 +277,7 @@ def score_table(
             score_rows(fs_variance(df, features), "Variance", filters),
             score_rows(iv, "IV (WoE)", filters, "iv"),
             score_rows(mutual_information(df, features, target, ident, bins=bins), "Mutual Info", filters, "mi"),
-            score_rows(anova_f(df, features, target), "ANOVA F-Test", filters),
+            score_rows(with_anova_p(anova_f(df, features, target)), "ANOVA F-Test", filters),
             score_rows(point_biserial(df, features, target), "Point-Biserial r", filters),
             score_rows(fs_corr_prune(df, features, iv_of), "Corr Pruning", filters),
             score_rows(fs_lr_l1(df, features, target, max_iter=max_iter), "LR L1 (Lasso)", linear),
@@ -297,11 +297,16 @@ def score_table(
 
 def feature_sets(
     df: DataFrame, features: Sequence[str], target: str, ident: str, top_n: int = 25, corr_above: float = 0.02,
-    trees: int = 50, depth: int = 5, rounds: int = 50,
+    trees: int = 50, depth: int = 5, rounds: int = 50, fallback: Sequence[str] | None = None, least: int = 5,
 ) -> DataFrame:
-    """The seven candidate sets as rows (feature_set, position, feature)."""
+    """The seven candidate sets as rows (feature_set, position, feature).
+
+    The filter that keeps nothing, and the sparse model that keeps fewer than ``least``,
+    give the ``fallback`` features, by default all.
+    """
     spark = df.sparkSession
     features = list(features)
+    fallback = features if fallback is None else list(fallback)
     top_n = min(top_n, len(features))
 
     def best(scores: DataFrame, col: str) -> list[str]:
@@ -314,9 +319,9 @@ def feature_sets(
     sparse = above(fs_lr_l1(df, features, target), 1e-6)
     chosen = {
         "FS1_All": features,
-        "FS2_IV_Filter": [c for c in features if c in correlated] or features[:top_n],
+        "FS2_IV_Filter": [c for c in features if c in correlated] or fallback,
         "FS3_MutualInfo": best(mutual_information(df, features, target, ident), "mi"),
-        "FS4_L1_Lasso": [c for c in features if c in sparse] if len(sparse) >= 5 else features[:top_n],
+        "FS4_L1_Lasso": [c for c in features if c in sparse] if len(sparse) >= least else fallback,
         "FS5_RandomForest": best(fs_rf(df, features, target, trees=trees, depth=depth, min_leaf=1, subsample=1.0), "score"),
         "FS6_Boosted": best(fs_gbt(df, features, target, rounds=rounds, depth=3, rate=0.2, subsample=1.0, min_leaf=1), "score"),
     }

@@ -10,24 +10,20 @@ from riskloom.functions import labels
 from riskloom.functions.scalar import half_up, quoted, ratio
 from riskloom.operators.kernels import union_all
 
-# Wider rows are screened by hash first, so only suspects are shuffled whole.
-WIDE_ROW = 16
-
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows that have at least one exact copy: every member of a group of copies counts.
 
-    Copies collapse map-side before the shuffle, so one row repeated through a
-    third of the table costs one record per task.
+    Rows are screened by hash first, so only suspects are shuffled whole; copies
+    collapse map-side before either shuffle, so one row repeated through a third of
+    the table costs one record per task.
     """
     columns = list(columns or df.columns)
     rows = df.select(*[quoted(c) for c in columns])
     total = rows.agg(F.lit("n").alias("k"), F.count(F.lit(1)).alias("v"))
-    suspects = rows
-    if len(columns) > WIDE_ROW:
-        hashed = rows.withColumn("_h", F.xxhash64(*[quoted(c) for c in columns]))
-        repeated = hashed.groupBy("_h").count().where(F.col("count") > 1).select("_h")
-        suspects = hashed.join(repeated, "_h", "left_semi").drop("_h")
+    hashed = rows.withColumn("_h", F.xxhash64(*[quoted(c) for c in columns]))
+    repeated = hashed.groupBy("_h").count().where(F.col("count") > 1).select("_h")
+    suspects = hashed.join(repeated, "_h", "left_semi").drop("_h")
     copies = suspects.groupBy(*[quoted(c) for c in columns]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
     dup = copies.agg(F.lit("d").alias("k"), F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
     both = union_all([total, dup]).agg(

@@ -50,19 +50,19 @@ def avg_rank(scores: DataFrame) -> DataFrame:
 
 
 def consensus(scores: DataFrame) -> DataFrame:
-    """Mean normalised score over all methods, votes (norm >= 0.5), and the mean per method group."""
+    """Mean normalised score over all methods, votes (norm >= 0.5), and the mean per method group; not rounded."""
     norm = fs_normalise(scores)
 
     def group_mean(name: str) -> Column:
         return F.coalesce(F.avg(F.when(F.col("grp") == name, F.col("norm"))), F.lit(0.0))
 
     return norm.groupBy("feature").agg(
-        half_up(F.avg("norm"), 6).alias("consensus"),
+        F.avg("norm").alias("consensus"),
         F.count(F.when(F.col("norm") >= 0.5, True)).alias("votes"),
         F.count(F.lit(1)).alias("n_methods"),
-        half_up(group_mean("Filter"), 6).alias("filter_score"),
-        half_up(group_mean("Logistic Regression"), 6).alias("lr_score"),
-        half_up(group_mean("Tree-Based"), 6).alias("tree_score"),
+        group_mean("Filter").alias("filter_score"),
+        group_mean("Logistic Regression").alias("lr_score"),
+        group_mean("Tree-Based").alias("tree_score"),
     )
 
 
@@ -95,16 +95,19 @@ def fs_agreement(ranked: DataFrame, n: int = 200, limit: int | None = None) -> D
     tagged = ranked.join(tree, "feature", "left").join(lr, "feature", "left")
     in_tree, in_lr = F.col("_t").isNotNull(), F.col("_l").isNotNull()
     label = labels.ladder([(in_tree & in_lr, "Both"), (in_tree, "Tree"), (in_lr, "LR")], "-")
+    shown = [half_up(F.col(c), 6).alias(c) for c in ("consensus", "tree_score", "lr_score", "filter_score")]
     out = tagged.select(
         F.row_number().over(w).cast("bigint").alias("rank"),
-        "feature", "consensus", "votes", "n_methods", "tree_score", "lr_score", "filter_score",
+        "feature", shown[0], "votes", "n_methods", *shown[1:],
         label.alias("agreement"),
     )
     return out if limit is None else out.where(F.col("rank") <= limit)
 
 
-def fs_vote_consensus(sets: DataFrame, n: int = 25, min_votes: int = 2, fallback: str | None = None) -> DataFrame:
-    """Features in at least ``min_votes`` sets, most votes first; ``fallback`` set if fewer than 5.
+def fs_vote_consensus(
+    sets: DataFrame, n: int = 25, min_votes: int = 2, fallback: str | None = None, least: int = 5
+) -> DataFrame:
+    """Features in at least ``min_votes`` sets, most votes first; the ``fallback`` set if fewer than ``least``.
 
     ``sets`` is long: (feature_set, feature).
     """
@@ -114,7 +117,7 @@ def fs_vote_consensus(sets: DataFrame, n: int = 25, min_votes: int = 2, fallback
         .where(F.col("votes") >= min_votes)
     )
     top = votes.orderBy(F.desc("votes"), "feature").limit(n)
-    if fallback is not None and top.count() < 5:
+    if fallback is not None and top.count() < least:
         counted = sets.where(F.col("feature_set") == fallback).select("feature").distinct()
         return counted.join(votes, "feature", "left").select("feature", F.coalesce("votes", F.lit(1)).alias("votes"))
     return top
@@ -188,9 +191,11 @@ def method_summary(scores: DataFrame, thresholds: Mapping[str, tuple[str, float]
 
 
 def score_rows(frame: DataFrame, method: str, grp: str, score: str = "score") -> DataFrame:
-    """Bring one method's (feature, score) frame into the long score table."""
+    """Bring one method's (feature, score[, selected]) frame into the long score table."""
+    known = F.col("selected") if "selected" in frame.columns else F.lit(None)
     return frame.select(
-        F.lit(method).alias("method"), F.lit(grp).alias("grp"), "feature", quoted(score).cast("double").alias("score")
+        F.lit(method).alias("method"), F.lit(grp).alias("grp"), "feature", quoted(score).cast("double").alias("score"),
+        known.cast("boolean").alias("selected"),
     )
 
 

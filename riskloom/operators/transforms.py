@@ -134,28 +134,24 @@ def encoding_plan(df: DataFrame, columns: Sequence[str], max_levels: int = 50) -
     )
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list[str]]:
-    """Sorted non-null values per column; a column with more than ``max_levels`` is refused.
+def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
+    """Sorted non-null values per column; with ``max_levels`` a column of more is refused.
 
-    The row-number filter is pushed below the shuffle, so no task ever holds more
-    than max_levels + 1 values of a column.
+    With it, the row-number filter is pushed below the shuffle, so no task ever holds
+    more than max_levels + 1 values of a column.
     """
     if not columns:
         return {}
     w = W.partitionBy("column").orderBy("value")
-    rows = (
-        value_histogram(df, columns)
-        .where(F.col("value").isNotNull())
-        .withColumn("_n", F.row_number().over(w))
-        .where(F.col("_n") <= max_levels + 1)
-        .select("column", "value")
-        .collect()
-    )
+    values = value_histogram(df, columns).where(F.col("value").isNotNull())
+    if max_levels is not None:
+        values = values.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_levels + 1)
+    rows = values.select("column", "value").collect()
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         levels[r["column"]].append(r["value"])
     for c, values in levels.items():
-        if len(values) > max_levels:
+        if max_levels is not None and len(values) > max_levels:
             raise ValueError(f"{c} has more than {max_levels} values; encode it by woe")
         values.sort(key=lambda v: v.encode("utf-8"))
     return levels

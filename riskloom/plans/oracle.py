@@ -483,10 +483,11 @@ put("best_per_dim", union([
 
 NORM = """norm AS (SELECT *, CASE WHEN MAX(score) OVER w - MIN(score) OVER w < 1e-12 THEN CAST(0.5 AS DOUBLE)
   ELSE (score - MIN(score) OVER w) / (MAX(score) OVER w - MIN(score) OVER w) END AS norm FROM fake_scores WINDOW w AS (PARTITION BY method))"""
-CONSENSUS = (NORM, f"""agreed AS (SELECT feature, {rnd('AVG(norm)')} AS consensus, COUNT(*) FILTER (WHERE norm >= 0.5) AS votes,
-  COUNT(*) AS n_methods, {rnd("COALESCE(AVG(norm) FILTER (WHERE grp = 'Filter'), 0)")} AS filter_score,
-  {rnd("COALESCE(AVG(norm) FILTER (WHERE grp = 'Logistic Regression'), 0)")} AS lr_score,
-  {rnd("COALESCE(AVG(norm) FILTER (WHERE grp = 'Tree-Based'), 0)")} AS tree_score FROM norm GROUP BY feature)""")
+CONSENSUS = (NORM, """agreed AS (SELECT feature, AVG(norm) AS consensus, COUNT(*) FILTER (WHERE norm >= 0.5) AS votes,
+  COUNT(*) AS n_methods, COALESCE(AVG(norm) FILTER (WHERE grp = 'Filter'), 0) AS filter_score,
+  COALESCE(AVG(norm) FILTER (WHERE grp = 'Logistic Regression'), 0) AS lr_score,
+  COALESCE(AVG(norm) FILTER (WHERE grp = 'Tree-Based'), 0) AS tree_score FROM norm GROUP BY feature)""")
+SHOWN = ", ".join(f"{rnd(c)} AS {c}" for c in ("consensus", "filter_score", "lr_score", "tree_score"))
 TREE = f"tree AS (SELECT feature FROM agreed ORDER BY tree_score DESC, feature LIMIT {TOP})"
 LR = f"lr AS (SELECT feature FROM agreed ORDER BY lr_score DESC, feature LIMIT {TOP})"
 put("fs_normalise", f"SELECT method, feature, grp, {rnd('score')} AS score, {rnd('norm')} AS norm FROM norm", NORM)
@@ -497,16 +498,16 @@ put("fs_method_summary", f"""
 SELECT method, grp, COUNT(*) FILTER (WHERE score > mu) AS n_selected, FIRST(feature ORDER BY score DESC, feature) AS top_feature,
        {rnd("MAX(score)")} AS top_score, {rnd("AVG(score)")} AS mean_score, COUNT(*) FILTER (WHERE score > 1e-9) AS n_nonzero
 FROM (SELECT *, AVG(score) OVER (PARTITION BY method) AS mu FROM fake_scores) GROUP BY method, grp""")
-put("fs_consensus", "SELECT * FROM agreed", *CONSENSUS)
-put("topn_features", f"SELECT feature, consensus FROM agreed ORDER BY consensus DESC, feature LIMIT {TOP}", *CONSENSUS)
+put("fs_consensus", f"SELECT feature, votes, n_methods, {SHOWN} FROM agreed", *CONSENSUS)
+put("topn_features", f"SELECT feature, {rnd('consensus')} AS consensus FROM agreed ORDER BY agreed.consensus DESC, feature LIMIT {TOP}", *CONSENSUS)
 put("fs_both", "SELECT feature FROM tree INTERSECT SELECT feature FROM lr", *CONSENSUS, TREE, LR)
 put("fs_tree_only", "SELECT feature FROM tree EXCEPT SELECT feature FROM lr", *CONSENSUS, TREE, LR)
 put("fs_lr_only", "SELECT feature FROM lr EXCEPT SELECT feature FROM tree", *CONSENSUS, TREE, LR)
 put("fs_vote_consensus", """
 SELECT feature, COUNT(*) AS votes FROM norm WHERE norm >= 0.5 GROUP BY feature HAVING COUNT(*) >= 2
 ORDER BY votes DESC, feature LIMIT 25""", NORM)
-put("fs_agreement", """
-SELECT ROW_NUMBER() OVER (ORDER BY consensus DESC, feature) AS rank, feature, consensus, votes, n_methods, tree_score, lr_score, filter_score,
+put("fs_agreement", f"""
+SELECT ROW_NUMBER() OVER (ORDER BY agreed.consensus DESC, feature) AS rank, feature, votes, n_methods, {SHOWN},
        CASE WHEN feature IN (SELECT feature FROM tree) AND feature IN (SELECT feature FROM lr) THEN 'Both'
             WHEN feature IN (SELECT feature FROM tree) THEN 'Tree' WHEN feature IN (SELECT feature FROM lr) THEN 'LR'
             ELSE '-' END AS agreement FROM agreed""", *CONSENSUS, TREE, LR)

@@ -436,12 +436,12 @@ def q_best_per_dim(spark, sf):
 
 @query
 def q_fs_consensus(spark, sf):
-    return selection.consensus(fake_scores(spark, sf))
+    return _r(selection.consensus(fake_scores(spark, sf)))
 
 
 @query
 def q_topn_features(spark, sf):
-    return selection.top_features(selection.consensus(fake_scores(spark, sf)), "consensus", TOP).select("feature", "consensus")
+    return selection.top_features(selection.consensus(fake_scores(spark, sf)), "consensus", TOP).select("feature", half_up(F.col("consensus"), 6).alias("consensus"))
 
 
 @query
@@ -729,7 +729,7 @@ def q_fs_lr_l1(spark, sf):
 
 @query
 def q_fs_lr_l1_cv(spark, sf):
-    return learners.fs_lr_l1_cv(_train(spark, sf), PREDICTORS, "flagged", "record_id", n_cs=10, max_iter=20)
+    return learners.fs_lr_l1_cv(_train(spark, sf), PREDICTORS, "flagged", "record_id", n_cs=10)
 
 
 @query
@@ -772,4 +772,4 @@ def q_grid_search(spark, sf):
     sets = {"FS1_All": PREDICTORS, "FS_Price": ["ord_price_gappy", "ord_totalprice", "cust_acctbal"]}
     models = [m for m in grid.MODELS if m.id in ("LR_L2", "DT_d5", "GNB")]
     combos = grid.combinations(models, grid.SCALERS[:1], grid.IMBALANCE[:2])
-    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos, small=True).results
+    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos).results

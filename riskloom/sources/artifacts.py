@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskloom.operators.transforms import SPEC_SCHEMA, fit_levels, impute, woe_map
 from riskloom.sources.scratch import small_table
 
-RANKING_LENGTH = 50
 
 
 def save_document(spark: SparkSession, doc: Mapping[str, Any], path: str, mode: str = "overwrite") -> None:
@@ -153,9 +152,10 @@ def split_document(splits: DataFrame, features: Sequence[str], seed: int = 42, f
     }
 
 
-def results_document(results: DataFrame) -> dict[str, Any]:
-    """From ranked grid results: the winner, its parts, and the first ``RANKING_LENGTH`` rows."""
-    top = [r.asDict() for r in results.orderBy("rank").limit(RANKING_LENGTH).collect()]
+def results_document(results: DataFrame, length: int | None = None) -> dict[str, Any]:
+    """From ranked grid results (one row per experiment): the winner, its parts, and the ranking or its first ``length`` rows."""
+    ranked = results.orderBy("rank")
+    top = [r.asDict() for r in (ranked if length is None else ranked.limit(length)).collect()]
     best = top[0] if top else {}
     return {
         "best_experiment": best,

@@ -26,10 +26,11 @@ _SHAPES = {
 }
 
 
-def _text(spark: SparkSession, path: str | Sequence[str], sep: str) -> DataFrame:
+def _text(spark: SparkSession, path: str | Sequence[str], sep: str, multiline: bool) -> DataFrame:
     return spark.read.csv(
-        path, header=True, sep=sep, inferSchema=False, nullValue="\u0000", emptyValue=""
-    )
+        path, header=True, sep=sep, quote='"', escape='"', multiLine=multiline,
+        inferSchema=False, nullValue="\u0000", emptyValue="",
+    )
 
 
 def _cell(name: str, nulls: Sequence[str]) -> Column:
@@ -65,22 +66,27 @@ def read_delimited(
     sep: str = ",",
     nulls: Sequence[str] = NULL_STRINGS,
     schema: T.StructType | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Header-row text scan; any of ``nulls`` reads as NULL.
 
+    A quoted cell may hold separators, doubled quotes and line ends.  Line ends in
+    cells forbid splitting a file; for files that have none, ``multiline=False`` lets
+    one large file be read by many tasks.
+
     With ``schema`` nothing is inferred and the scan stays lazy; columns are
     matched by name.
     """
-    raw = _text(spark, path, sep)
+    raw = _text(spark, path, sep, multiline)
     schema = schema or infer_types(raw, nulls)
     return raw.select(*[_cell(f.name, nulls).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_lenient(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = ","
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, sep: str = ",", multiline: bool = True
 ) -> DataFrame:
     """Serving scan: a cell that does not parse as its column's type is NULL."""
-    raw = _text(spark, path, sep)
+    raw = _text(spark, path, sep, multiline)
     picked = []
     for f in schema:
         cell = F.col(f"`{f.name}`")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _LOCAL_ROOT: dict[str, str] = {}
+# Paths made inside the open scopes, innermost last.
+_SCOPES: list[list[str]] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -42,6 +44,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{scratch_root(spark)}/riskloom/{name}-{uuid.uuid4().hex}"
     jpath, fs = _hadoop(spark, path)
     fs.deleteOnExit(jpath)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
@@ -63,6 +67,20 @@ def materialise(df: DataFrame, name: str = "base") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(build: Callable[[], DataFrame], name: str = "result") -> DataFrame:
+    """Write what ``build`` returns and delete every other table written meanwhile."""
+    _SCOPES.append([])
+    try:
+        out = materialise(build(), name)
+    finally:
+        paths = _SCOPES.pop()
+    for path in paths[:-1]:  # the last is the result's
+        drop_scratch(out.sparkSession, path)
+    if _SCOPES:
+        _SCOPES[-1].append(paths[-1])
+    return out
+
+
 @contextmanager
 def working_table(df: DataFrame, name: str = "work") -> Iterator[DataFrame]:
     """``materialise`` for a table that no result refers to: it is deleted at the end of the block."""

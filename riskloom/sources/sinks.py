@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

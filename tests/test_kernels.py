@@ -8,7 +8,7 @@ from pyspark.sql import Window as W, functions as F
 from riskloom.functions import scalar
 from riskloom.operators import kernels as K
 
-BRACKETED = {"small_rows": 0, "accuracy": 200}
+BRACKETED = {"accuracy": 200}
 
 
 @pytest.fixture(scope="module")
@@ -41,10 +41,18 @@ def test_order_statistics_exact(frame, options):
             assert x.equal == data[c].count(x.value)
 
 
+def test_infinite_ends_and_long_tail(spark):
+    values = [float("-inf")] * 3 + [10.0**k for k in range(-200, 300)] + [float("inf")] * 5
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    n = len(values)
+    got = K.order_statistics(df, {"x": list(range(1, n + 1, 7))}, {"x": n}, accuracy=50)
+    assert all(got["x", r].value == values[r - 1] for r in range(1, n + 1, 7))
+
+
 def test_bracket_miss_falls_back(frame, monkeypatch):
     monkeypatch.setattr(K, "_brackets", lambda long, ranks, *a: {c: [(1e9, 2e9)] for c in ranks})
     n = frame.where("hot is not null").count()
-    got = K.order_statistics(frame, {"hot": [n // 2]}, {"hot": n}, small_rows=0)
+    got = K.order_statistics(frame, {"hot": [n // 2]}, {"hot": n})
     assert got["hot", n // 2].value == sorted(r[0] for r in frame.select("hot").collect())[n // 2 - 1]
 
 
@@ -61,8 +69,6 @@ def test_quantiles_match_numpy(frame, options):
 @pytest.mark.parametrize("options", [{}, BRACKETED])
 @pytest.mark.parametrize("k", [3, 10, 7000])
 def test_ntile_equals_window(frame, options, k):
-    if k == 7000 and options:
-        pytest.skip("one bin per row is covered without brackets")
     n = frame.where("hot is not null").count()
     small = frame if k < 7000 else frame.where("id < 40")
     n = small.count()
@@ -84,9 +90,9 @@ def test_bin_sizes_sum_to_rows(frame):
     assert sum(sizes) == n and max(sizes) - min(sizes) <= 1
 
 
-@pytest.mark.parametrize("small_rows", [10**6, 0])
-def test_prefix_and_row_number(frame, small_rows):
-    opts = {"small_rows": small_rows, "rows_per_part": 500}
+@pytest.mark.parametrize("parts", [None, 12])
+def test_prefix_and_row_number(frame, parts):
+    opts = {"parts": parts}
     numbered = K.with_row_number(frame, [F.col("hot"), F.col("id")], **opts)
     truth = F.row_number().over(W.orderBy("hot", "id"))
     assert numbered.withColumn("e", truth).where("e <> rank").count() == 0

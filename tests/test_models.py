@@ -80,7 +80,7 @@ def test_grid_ranks_and_survives_failures(toy, monkeypatch):
         return real(model_id, *a, **kw)
 
     monkeypatch.setattr(grid, "estimator", flaky)
-    run = grid.run_grid(toy, {"all": FEATURES, "weak": ["weak"]}, "y", "split", "id", combos, folds=2, small=True)
+    run = grid.run_grid(toy, {"all": FEATURES, "weak": ["weak"]}, "y", "split", "id", combos, folds=2, sizes={"iters": 20, "trees": 5})
     rows = run.results.orderBy("rank").collect()
     curves = grid.family_curves(run)
     assert {r["model_family"] for r in curves.select("model_family").distinct().collect()} == {"Logistic Regression", "Decision Tree"}

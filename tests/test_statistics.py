@@ -164,7 +164,7 @@ def test_auc_and_ks_brute_force(scores):
 def test_range_partitioned_curve_equals_window(scores):
     df, _, _ = scores
     one = {tuple(r) for r in metrics.score_curve(df, "label", "score", ["g"]).collect()}
-    many = {tuple(r) for r in metrics.score_curve(df, "label", "score", ["g"], small_rows=0, rows_per_part=20).collect()}
+    many = {tuple(r) for r in metrics.score_curve(df, "label", "score", ["g"], parts=9).collect()}
     assert one == many and len(one) > 150
 
 
