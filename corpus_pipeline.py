@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.llm import decontaminate, langid, minhash, packing, toxicity
-from riskloom.llm.common import table
+from riskloom.llm.common import small_batches, table
 from riskloom.sources.scratch import materialise
 
 # Texts in no known language, or spread over several, score lower than this.
@@ -24,6 +24,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; NULL texts and those without a letter go."""
+    small_batches(spark)
     found = langid.predict(F.col("text").cast("string"), langid.train(docs), spark)
     return docs.filter(found["score"] >= LEAST_LANGUAGE)
 
@@ -33,6 +34,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rows with a NULL id are in no class and stay.
     """
+    small_batches(spark)
     kept = minhash.near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
     named = docs.filter("doc_id is not null").join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id is null"))
@@ -45,6 +47,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row per piece."""
+    small_batches(spark)
     return packing.pack_documents(docs, "word_bpe_49k.json", end_id=0)
 
 

@@ -14,11 +14,20 @@ from xxhash import xxh3_64_intdigest
 CACHED_CHUNKS = 250_000
 # Longer chunks are encoded each time they are met.
 CACHED_LENGTH = 48
+BATCH_ROWS = 2_000
 # Bytes of text that a task works on at once, unless one text is longer.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of so many rows, unless the session says otherwise: texts are long rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) in (None, "10000"):
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import batch_words, fold, mix, steps, sums, word_hashes
-from riskloom.sources.scratch import materialise
+from riskloom.sources.scratch import finished, materialise
 
 LEVEL_BASE = 1.4
 HASHES = 4
@@ -294,6 +294,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     an empty result.  Words are joined by 64-bit hashes.  Only the id and text columns
     are read.
     """
+    return finished(lambda: _scores(docs, id_col, text_col, held_out, head_words, max_bytes), "lm")
+
+
+def _scores(docs: DataFrame, id_col: str, text_col: str, held_out: int, head_words: int, max_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     train = rows.filter(fold("doc_id") != held_out).select("text")

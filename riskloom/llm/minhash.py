@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from riskloom.llm.common import batch_words, mix, steps
-from riskloom.sources.scratch import materialise
+from riskloom.sources.scratch import finished, materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -321,6 +321,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     equal ids are one document.  An empty table gives an empty result.  Only the id
     and text columns are read.
     """
+    return finished(lambda: _classes(docs, id_col, text_col, similarity, bands, rows), "classes")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int) -> DataFrame:
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialise(rows_in.mapInArrow(_signer(bands, rows), "doc_id bigint, digest binary, size bigint, bands array<bigint>"), "signed")
     real = signed.filter("doc_id is not null and digest is not null")
