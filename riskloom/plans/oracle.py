@@ -676,3 +676,56 @@ SELECT record_id, flagged, CAST(NTILE(3) OVER (PARTITION BY flagged ORDER BY {HA
 put("stratified_split", f"""
 SELECT record_id, flagged, CASE WHEN ROW_NUMBER() OVER (PARTITION BY flagged ORDER BY {HASH}, record_id)
   <= FLOOR(0.7 * COUNT(*) OVER (PARTITION BY flagged) + 0.5) THEN 'train' ELSE 'test' END AS part FROM risk_signal""")
+
+# -- operators over real scores, artifacts and streams -----------------------
+
+ORACLES["scan_csv_quoted"] = """
+SELECT 'a "' || c_mktsegment || '", b' AS "first", c_custkey,
+       CASE WHEN c_custkey % 2 = 0 THEN 'two' || chr(10) || 'lines ' || CAST(c_custkey AS VARCHAR) ELSE '"' END AS "last"
+FROM customer"""
+ORACLES["scan_parquet_whole"] = "SELECT o_orderkey, o_totalprice FROM orders"
+put("column_fill", union([
+    f"SELECT CAST({i} AS INTEGER) AS position, '{n}' AS \"column\", '{t}' AS data_type, {str(n != 'funded').lower()} AS is_feature, "
+    f"COUNT({n}) AS n_values FROM guarded" for i, (n, t) in enumerate(GUARDED, start=1)]))
+put("numeric_feature_fill", union([
+    f"SELECT CAST({i} AS BIGINT) AS position, '{n}' AS feature, COUNT({n}) AS n_values FROM risk_raw"
+    for i, n in enumerate(("li_cnt", "ord_price_gappy", "drv_skewed"), start=1)]))
+# F(1, d) exceeds the square of this t quantile with probability 0.05
+_Z = 1.959963984540054
+_CRITICAL = f"POWER({_Z} + {(_Z**3 + _Z) / 4} / (n - 2), 2)"
+put("_anova_rule", f"""
+SELECT feature, {rnd("f", 4)} AS score, f > {_CRITICAL} AS selected
+FROM (SELECT feature, n, (n1 * POWER(m1 - m, 2) + n0 * POWER(m0 - m, 2)) / ((n1 * v1 + n0 * v0) / (n - 2)) AS f FROM moments)""", MOMENTS)
+_FILTERS = "s AS (" + union([
+    f"SELECT 'Variance' AS method, 'Filter' AS grp, feature, score, selected FROM ({ORACLES['fs_variance']})",
+    f"SELECT 'IV (WoE)', 'Filter', feature, iv, iv >= 0.02 FROM ({ORACLES['iv_numeric']})",
+    f"SELECT 'Mutual Info', 'Filter', feature, mi, mi > 0.01 FROM ({ORACLES['fs_mutual_info']})",
+    f"SELECT 'ANOVA F-Test', 'Filter', feature, score, selected FROM ({ORACLES.pop('_anova_rule')})",
+    f"SELECT 'Point-Biserial r', 'Filter', feature, score, selected FROM ({ORACLES['fs_point_biserial']})",
+]) + ")"
+ORACLES["fs_method_rules"] = f"""
+WITH {_FILTERS}
+SELECT method, grp, COUNT(*) FILTER (WHERE selected) AS n_selected, FIRST(feature ORDER BY score DESC, feature) AS top_feature,
+       {rnd("MAX(score)")} AS top_score, {rnd("AVG(score)")} AS mean_score, COUNT(*) FILTER (WHERE score > 1e-9) AS n_nonzero
+FROM s GROUP BY method, grp"""
+ORACLES["fs_consensus_filters"] = f"""
+WITH {_FILTERS}, norm AS (
+  SELECT *, CASE WHEN MAX(score) OVER w - MIN(score) OVER w < 1e-12 THEN CAST(0.5 AS DOUBLE)
+         ELSE (score - MIN(score) OVER w) / (MAX(score) OVER w - MIN(score) OVER w) END AS norm FROM s WINDOW w AS (PARTITION BY method))
+SELECT feature, {rnd("AVG(norm)", 5)} AS consensus, COUNT(*) FILTER (WHERE norm >= 0.5) AS votes, COUNT(*) AS n_methods,
+       {rnd("AVG(norm)", 5)} AS filter_score, CAST(0 AS DOUBLE) AS lr_score, CAST(0 AS DOUBLE) AS tree_score
+FROM norm GROUP BY feature"""
+ORACLES["spec_round_trip"] = ORACLES["stream_replay"] = ORACLES["serve_features"]
+
+
+def filled(value: str) -> str:
+    return "SELECT record_id, " + ", ".join(
+        f"{rnd(f'COALESCE({c}, {value.format(c=c)})')} AS {c}" for c in ("li_qty_sum", "ord_price_gappy")) + " FROM risk_raw"
+
+
+put("fe_impute_mean", filled("(SELECT AVG({c}) FROM risk_raw)"))
+put("fe_impute_constant", filled("-1.0"))
+put("fe_winsorise_zscore", "SELECT record_id, " + ", ".join(
+    f"CASE WHEN {c} IS NOT NULL THEN {rnd(f'GREATEST(b.{c}_m - 1.5 * b.{c}_s, LEAST(b.{c}_m + 1.5 * b.{c}_s, {c}))')} END AS {c}"
+    for c in ("li_qty_sum", "ord_price_gappy")) + " FROM risk_raw CROSS JOIN (SELECT " + ", ".join(
+    f"AVG({c}) AS {c}_m, STDDEV_POP({c}) AS {c}_s" for c in ("li_qty_sum", "ord_price_gappy")) + " FROM risk_raw) b")

@@ -35,9 +35,11 @@ from riskloom.plans.fixtures import (
     table,
 )
 from riskloom.operators.star import star_left_join
-from riskloom.sources.readers import read_delimited, read_lenient, read_parquet
+from riskloom.operators.kernels import union_all
+from riskloom.sources.readers import input_size, read_delimited, read_lenient, read_parquet
 from riskloom.sources.scratch import materialise, scratch_path, small_table
-from riskloom.sources.sinks import write_csv
+from riskloom.sources.sinks import load_artifact, save_artifact, write_csv
+from riskloom.streaming.serve import serve_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -773,3 +775,118 @@ def q_grid_search(spark, sf):
     models = [m for m in grid.MODELS if m.id in ("LR_L2", "DT_d5", "GNB")]
     combos = grid.combinations(models, grid.SCALERS[:1], grid.IMBALANCE[:2])
     return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos).results
+
+
+# -- operators over real scores, artifacts and streams -----------------------
+
+
+@query
+def q_scan_csv_quoted(spark, sf):
+    """Separators, doubled quotes and line ends in cells of every text column, the last one included."""
+    key = F.col("c_custkey")
+    text = table(spark, sf, "customer").select(
+        F.concat(F.lit('a "'), F.col("c_mktsegment"), F.lit('", b')).alias("first"),
+        key.cast("string").alias("c_custkey"),
+        F.when(key % 2 == 0, F.concat(F.lit("two\nlines "), key.cast("string"))).otherwise(F.lit('"')).alias("last"),
+    )
+    path = scratch_path(spark, "csv")
+    write_csv(text, path)
+    return read_delimited(spark, path)
+
+
+@query
+def q_input_size(spark, sf):
+    return input_size(read_parquet(spark, f"{sf}/orders.parquet")).select("n_files", "size_bytes")
+
+
+@query
+def q_scan_parquet_whole(spark, sf):
+    return read_parquet(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice")
+
+
+@query
+def q_column_fill(spark, sf):
+    """The column list with the filled rows of each."""
+    df = governance.prohibited_guard(risk(spark, sf))
+    filled = df.agg(*[F.count(quoted(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_values")
+    return profile.schema_columns(df, target="funded").join(filled, "column")
+
+
+@query
+def q_numeric_feature_fill(spark, sf):
+    """The numeric features wanted, with the filled rows of each."""
+    df = risk(spark, sf)
+    wanted = ["li_cnt", "cust_segment", "no_such_column", "funded", "ord_price_gappy", "drv_skewed"]
+    names = governance.numeric_features(df, wanted, "funded")
+    filled = df.agg(*[F.count(quoted(c)).alias(c) for c in names]).unpivot([], names, "feature", "n_values")
+    return small_table(spark, list(enumerate(names, start=1)), "position bigint, feature string").join(filled, "feature")
+
+
+def _filter_scores(spark, sf):
+    """What five filter methods give, as their own queries show it."""
+    anova = stats.with_anova_p(stats.anova_f(risk(spark, sf, ["flagged", *PREDICTORS]), PREDICTORS, "flagged"))
+    parts = [
+        selection.score_rows(q_fs_variance(spark, sf), "Variance", "Filter"),
+        selection.score_rows(q_iv_numeric(spark, sf), "IV (WoE)", "Filter", "iv"),
+        selection.score_rows(q_fs_mutual_info(spark, sf), "Mutual Info", "Filter", "mi"),
+        selection.score_rows(anova.withColumn("score", half_up(F.col("score"), 4)), "ANOVA F-Test", "Filter"),
+        selection.score_rows(q_fs_point_biserial(spark, sf), "Point-Biserial r", "Filter"),
+    ]
+    return materialise(union_all(parts), "filters")
+
+
+@query
+def q_fs_consensus_filters(spark, sf):
+    return _r(selection.consensus(_filter_scores(spark, sf)), 5)
+
+
+@query
+def q_fs_method_rules(spark, sf):
+    return selection.method_summary(_filter_scores(spark, sf))
+
+
+def _served(spark, sf, spec):
+    features = [*SPEC_NUMERIC, "drv_high_card_is_missing", "ord_priority", "cust_nation", "drv_high_card"]
+    return _r(transforms.serve_features(_spec_input(spark, sf), spec, features, "flagged", keep=["record_id"]))
+
+
+@query
+def q_spec_round_trip(spark, sf):
+    path = scratch_path(spark, "spec")
+    save_artifact(_fit_spec(_spec_input(spark, sf)), path)
+    return _served(spark, sf, load_artifact(spark, path))
+
+
+@query
+def q_stream_replay(spark, sf):
+    """The spec over a stream of the same rows: what is there is drained, and the result read back."""
+    df = _spec_input(spark, sf)
+    spec = materialise(_fit_spec(df), "spec")
+    source, out, marks = (scratch_path(spark, name) for name in ("source", "served", "marks"))
+    df.write.parquet(source)
+    features = [*SPEC_NUMERIC, "drv_high_card_is_missing", "ord_priority", "cust_nation", "drv_high_card"]
+    stream = spark.readStream.schema(df.schema).parquet(source)
+    serve_stream(stream, spec, out, marks, features, "flagged", ["record_id"]).awaitTermination()
+    return _r(spark.read.parquet(out))
+
+
+def _fill_input(spark, sf):
+    return risk(spark, sf, ["record_id", "li_qty_sum", "ord_price_gappy"], keep=True)
+
+
+@query
+def q_fe_impute_mean(spark, sf):
+    df = _fill_input(spark, sf)
+    return _r(transforms.impute(df, transforms.fit_fill(df, ["li_qty_sum", "ord_price_gappy"], "mean")))
+
+
+@query
+def q_fe_impute_constant(spark, sf):
+    df = _fill_input(spark, sf)
+    return _r(transforms.impute(df, transforms.fit_fill(df, ["li_qty_sum", "ord_price_gappy"], "constant", -1.0)))
+
+
+@query
+def q_fe_winsorise_zscore(spark, sf):
+    df = _fill_input(spark, sf)
+    return _r(transforms.winsorise(df, transforms.fit_fences(df, ["li_qty_sum", "ord_price_gappy"], "zscore", 1.5)))
