@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from riskloom.functions.labels import TRANSFORM_ADVICE
-from riskloom.operators.grid import combinations
 from riskloom.operators.selection import METHOD_THRESHOLDS
 from riskloom.plans.fixtures import CATEGORICAL, NUMERIC, PREDICTORS
 from riskloom.plans.queries import (
@@ -162,16 +160,21 @@ put("corr_matrix", f"SELECT feature_a, feature_b, {rnd('r')} AS r FROM pairs", "
     + (corr(a, b) if a != b or a == "ord_const" else "CAST(1.0 AS DOUBLE)") + " AS r FROM risk_raw"
     + ("" if a != b or a == "ord_const" else " HAVING COUNT(*) > 0")
     for a in CORR_COLUMNS for b in CORR_COLUMNS]) + ")")
-_combos = combinations()
-put("experiment_grid", f"""
-SELECT CAST((s.position - 1) * {len(_combos)} + c.slot + 1 AS BIGINT) AS experiment_id, s.feature_set, s.n_features,
+put("experiment_grid", """
+SELECT CAST((s.position - 1) * COUNT(*) OVER (PARTITION BY s.feature_set) + c.slot AS BIGINT) AS experiment_id, s.feature_set, s.n_features,
        c.model_id, c.model_label, c.model_family, c.scaler, c.imbalance
 FROM sets s CROSS JOIN combos c""",
     """sets AS (SELECT method AS feature_set, COUNT(*) FILTER (WHERE score > 0) AS n_features,
                 ROW_NUMBER() OVER (ORDER BY method) AS position FROM fake_scores GROUP BY method)""",
-    "combos AS (SELECT * FROM (VALUES " + ", ".join(
-        f"({i}, '{c['model_id']}', '{c['model_label']}', '{c['model_family']}', '{c['scaler']}', '{c['imbalance']}')"
-        for i, c in enumerate(_combos)) + ") t(slot, model_id, model_label, model_family, scaler, imbalance))")
+    """models AS (SELECT * FROM (VALUES
+      (1, 'LR_L1', 'LR L1 C=0.1', 'Logistic Regression', TRUE), (2, 'LR_L2', 'LR L2 C=1.0', 'Logistic Regression', TRUE),
+      (3, 'LR_EN', 'LR ElasticNet l1=0.5', 'Logistic Regression', TRUE), (4, 'DT_d5', 'Decision Tree depth=5', 'Decision Tree', FALSE),
+      (5, 'GNB', 'Gaussian Naive Bayes', 'Naive Bayes', FALSE), (6, 'RF_n60_d6', 'Random Forest n=60 depth=6', 'Random Forest', FALSE),
+      (7, 'GB_lr0.1_d4', 'Gradient Boosting n=60 depth=4', 'Gradient Boosting', FALSE)) t(m, model_id, model_label, model_family, scaled))""",
+    """scalers AS (SELECT * FROM (VALUES (1, 'StandardScaler', TRUE), (2, 'RobustScaler', TRUE), (3, 'MinMaxScaler', TRUE),
+      (4, 'No Scaling', FALSE)) t(k, scaler, scaled))""",
+    """weights AS (SELECT * FROM (VALUES (1, 'class_weight=balanced'), (2, 'No weighting'), (3, 'RandomUnderSampler')) t(w, imbalance))""",
+    """combos AS (SELECT *, ROW_NUMBER() OVER (ORDER BY m, k, w) AS slot FROM models JOIN scalers USING (scaled) CROSS JOIN weights)""")
 
 # -- aggregates -------------------------------------------------------------
 
@@ -304,7 +307,14 @@ SELECT split, n, positives, n - positives AS negatives, {rnd("n * 100.0 / SUM(n)
        CAST(SUM(n - positives) OVER () // 5 AS BIGINT) AS negatives_per_fold
 FROM (SELECT sample_group AS split, COUNT(*) AS n, CAST(SUM(flagged) AS BIGINT) AS positives FROM risk_signal GROUP BY sample_group)""")
 _number = ", ".join(f"'{n}'" for n, t in GUARDED if t != "string")
-_advice = " ".join(f"WHEN col_type = '{k}' THEN '{v}'" for k, v in TRANSFORM_ADVICE.items())
+# fixed values: the advice for each class of column
+_advice = """
+WHEN col_type = 'target' THEN 'Use as label — do not include as feature'
+WHEN col_type = 'constant' THEN 'Drop — zero variance, no predictive value'
+WHEN col_type = 'identifier' THEN 'Drop — uniqueness ≥ 95%, likely ID/key column'
+WHEN col_type = 'boolean' THEN 'Encode as 0/1 integer — no other transform needed'
+WHEN col_type = 'datetime' THEN 'Extract year/month/day/weekday features or compute age'
+WHEN col_type = 'numeric' THEN 'Impute median, winsorise IQR 3×, StandardScaler for LR'"""
 CLASSIFY = (
     MISSING,
     DISTINCT,
