@@ -746,27 +746,27 @@ def q_fs_lr_en(spark, sf):
 
 @query
 def q_fs_rf(spark, sf):
-    return learners.fs_rf(_train(spark, sf), PREDICTORS, "flagged", trees=50, depth=6)
+    return learners.fs_rf(_train(spark, sf), PREDICTORS, "flagged")
 
 
 @query
 def q_fs_gbt(spark, sf):
-    return learners.fs_gbt(_train(spark, sf), PREDICTORS, "flagged", rounds=20)
+    return learners.fs_gbt(_train(spark, sf), PREDICTORS, "flagged")
 
 
 @query
 def q_fs_gbt_splits(spark, sf):
-    return learners.fs_gbt_splits(_train(spark, sf), PREDICTORS, "flagged", rounds=20)
+    return learners.fs_gbt_splits(_train(spark, sf), PREDICTORS, "flagged")
 
 
 @query
 def q_fs_permutation(spark, sf):
-    return learners.fs_permutation(_train(spark, sf), PREDICTORS, "flagged", "record_id", repeats=3, trees=20, depth=6)
+    return learners.fs_permutation(_train(spark, sf), PREDICTORS, "flagged", "record_id")
 
 
 @query
 def q_feature_sets(spark, sf):
-    return learners.feature_sets(_train(spark, sf), PREDICTORS, "flagged", "record_id", top_n=5, trees=20, rounds=10)
+    return learners.feature_sets(_train(spark, sf), PREDICTORS, "flagged", "record_id")
 
 
 @query
