@@ -24,10 +24,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.llm.common import fold
+from riskloom.sources.scratch import small_table
 
 N = 3
 SEGMENT = 1024
 PER_LANGUAGE = 300
+# Up to so many languages their counts are broadcast.
+LANGUAGES = 1_000
 LANDMARKS = 96
 RIDGE = 1e-2
 SHARPNESS = 4.0
@@ -152,6 +155,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # by a hash threshold about twice as many as needed remain of each language, so that none fills one task;
     # should the threshold be unlucky for a rare language, all its rows remain
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).withColumnRenamed("lang", "own")
+    known = sizes.limit(LANGUAGES + 1).collect()
+    if len(known) <= LANGUAGES:  # then no row is shuffled to be thinned
+        sizes = F.broadcast(small_table(docs.sparkSession, [tuple(r) for r in known], "own string, rows bigint"))
     share = (F.col("h") / 2.0**64 + 0.5) * F.col("rows") <= F.lit(2.0 * per_language)
     cut = cut.join(sizes, F.col("lang") == F.col("own")).filter(share | (F.col("rows") <= 20 * per_language)).drop("own", "rows")
     first = W.partitionBy("lang").orderBy("h", "id", "cut")

@@ -10,7 +10,7 @@ by gradient ascent with forward-backward expectations.
 Scoring is one pass: forward-backward marginals of every token of the whole text,
 in blocks of ``BLOCK`` tokens; marginals above ``SPAN`` are spans with character
 offsets; a logistic model fitted on the sample turns the expected number of toxic
-tokens and the largest marginal into the document score.
+tokens, their share and the chances of at least one and two into the document score.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from riskloom.llm.common import batch_words, fold, labelled_ids, steps
+from riskloom.llm.common import batch_words, fold, labelled_ids, steps, sums
 from riskloom.sources.scratch import working_table
 
 # Labelled documents of each class that the model is fitted on.
@@ -151,7 +151,7 @@ class Model:
     weights: np.ndarray
     bias: float
     moves: np.ndarray
-    document: np.ndarray  # intercept, expected number, largest marginal
+    document: np.ndarray  # weights of what ``Scorer.documents`` gives
 
 
 class Scorer:
@@ -186,14 +186,13 @@ class Scorer:
         return p.ravel()[cells], bounds
 
     def documents(self, p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Intercept, log of the expected number and largest marginal of each text."""
-        filled = np.diff(bounds) > 0
-        number, largest = np.zeros(len(bounds) - 1), np.zeros(len(bounds) - 1)
-        if filled.any():
-            at = bounds[:-1][filled]
-            number[filled] = np.add.reduceat(np.where(p > LEAST, p, 0), at)
-            largest[filled] = np.maximum.reduceat(p, at)
-        return np.stack([np.ones(len(number)), np.log1p(number), largest], axis=1)
+        """Intercept, logs of the expected number of toxic tokens and of their share, and the chances of one and of two at least."""
+        q = np.where(p > LEAST, np.minimum(p, 1 - 1e-9), 0.0)
+        none = np.exp(sums(np.log1p(-q), bounds))
+        one = none * sums(q / (1 - q), bounds)
+        number = sums(q, bounds)
+        share = np.log((number + 0.05) / (np.diff(bounds) + 20.0))
+        return np.stack([np.ones(len(none)), np.log1p(number), share, 1 - none, np.clip(1 - none - one, 0, 1)], axis=1)
 
 
 def spans(text: str, p: np.ndarray) -> list[dict]:
@@ -243,7 +242,7 @@ def fit_chain(blocks: list[tuple[list[str], list[int]]], rounds: int = ROUNDS) -
         past = [a + g * g for a, g in zip(past, grads)]
         step = [RATE * g / np.sqrt(a) for g, a in zip(grads, past)]
         weights, bias, moves = weights + step[0], bias + step[1], moves + step[2]
-    return Model(weights[:-1], float(bias), moves - moves[0, 0], np.zeros(3))
+    return Model(weights[:-1], float(bias), moves - moves[0, 0], np.zeros(5))
 
 
 def fit_documents(features: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -321,11 +320,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for batch in batches:
                 texts = pa.array(batch["text"], pa.string())
                 out = np.concatenate([scorer.documents(*scorer.texts(texts[at:to])) for at, to in steps(texts)])
-                yield pd.DataFrame({"label": batch["label"], "number": out[:, 1], "largest": out[:, 2]})
+                yield pd.DataFrame({"label": batch["label"], "number": out[:, 1], "share": out[:, 2], "one": out[:, 3], "two": out[:, 4]})
 
-        seen = chosen.mapInPandas(features, "label int, number double, largest double").toPandas()
+        seen = chosen.mapInPandas(features, "label int, number double, share double, one double, two double").toPandas()
     y = seen["label"].to_numpy(float)
-    x = np.stack([np.ones(len(y)), seen["number"], seen["largest"]], axis=1)
+    x = np.stack([np.ones(len(y)), seen["number"], seen["share"], seen["one"], seen["two"]], axis=1)
     model.document = fit_documents(x, y, np.ones(len(y)))
     return model
 
@@ -349,8 +348,9 @@ def toxicity(text: Column | str, model: Model | None, spark) -> Column:
                 p, bounds = scorer.texts(texts)
                 x = scorer.documents(p, bounds)
                 scores = 1 / (1 + np.exp(-np.clip(x @ scorer.model.document, -30, 30)))
+                marked = sums((p > SPAN).astype(np.int64), bounds)
                 for k, score in enumerate(scores):
-                    hit = spans(texts[k].as_py(), p[bounds[k] : bounds[k + 1]]) if x[k, 2] > SPAN else []
+                    hit = spans(texts[k].as_py(), p[bounds[k] : bounds[k + 1]]) if marked[k] else []
                     rows.append({"score": float(score), "spans": hit})
             yield pa.array(rows, kind)
 
