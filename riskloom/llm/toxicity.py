@@ -33,7 +33,7 @@ from riskloom.sources.scratch import working_table
 # Labelled documents of each class that the model is fitted on.
 SAMPLE = 4_000
 # Blocks of each kind (with and without a toxic token) that the chain is fitted on.
-BLOCKS = 4_000
+BLOCKS = 2_500
 LEXICON = 2_000
 BLOCK = 64
 BITS = 18
