@@ -186,8 +186,9 @@ def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     byte = F.conv(F.hex(F.expr("substring(bits, cast(bit / 8 as int) + 1, 1)")), 16, 10).cast("int")
     likely = docs.withColumns({"bits_row": row, "bit": bit}).join(F.broadcast(bitmap), "bits_row")
     likely = likely.filter(F.call_function("shiftright", byte, (F.col("bit") % 8).cast("int")).bitwiseAND(F.lit(1)) == 1)
-    named = likely.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("needed"), "left_semi")
-    return materialise(named.mapInArrow(_sets, "doc_id bigint, shingles binary"), "shingles")
+    # the exact join comes after the Python step, past which the optimizer does not move it
+    sets = likely.select("doc_id", "text").mapInArrow(_sets, "doc_id bigint, shingles binary")
+    return materialise(sets.join(ids, F.col("doc_id") == F.col("needed"), "left_semi"), "shingles")
 
 
 def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
