@@ -11,8 +11,10 @@ gathered from all training texts:
 The filter is split into shards by hash.  Tasks send packed arrays of n-gram hashes
 to the shards, each shard counts its n-grams and builds its own bits, so no count
 table is ever in one place.  Its size follows the number of entries, ``BITS_EACH``
-bits each, up to ``MAX_BYTES`` - the proven bound of what is broadcast; beyond it the
-filter gets denser and its false-positive rate, which ``Filter.density`` tells, rises.
+bits each at any size, so its false-positive rate does not depend on the corpus.  The
+shards are a written table.  Up to ``MAX_BYTES`` they are broadcast; a larger filter
+stays where it is: blocks of texts send the packed hashes of their distinct n-grams to
+the shards, which probe them and send a byte per n-gram back.
 
 A token's probability is the pair count smoothed by a Dirichlet prior of the word
 probability, both from probes.
@@ -76,6 +78,18 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * np.uint64(0xD6E8FEB86659FD93) + second)
 
 
+@dataclass
+class Probed:
+    """What shards found for ``keys``, which are in order; it answers for these as a ``Filter`` does."""
+
+    keys: np.ndarray
+    found: np.ndarray
+    train_tokens: int
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        return self.found[np.searchsorted(self.keys, keys)]
+
+
 @dataclass
 class Filter:
     """Bit arrays of the shards, one after another."""
@@ -193,7 +207,7 @@ def _send(shards: int):
     return send
 
 
-def _build(shards: int, most_bits: int):
+def _build(most_bits: int | None):
     def build(group: pd.DataFrame) -> pd.DataFrame:
         keys = np.concatenate([np.frombuffer(b, "<u8") for b in group["keys"]])
         n = np.concatenate([np.frombuffer(b, "<u4") for b in group["n"]]).astype(np.int64)
@@ -202,7 +216,8 @@ def _build(shards: int, most_bits: int):
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, n = keys[first], np.add.reduceat(n, first)
         levels = quantise(n)
-        size = int(min(max(levels.sum() * BITS_EACH, 64), most_bits)) // 8 * 8
+        size = max(int(levels.sum()) * BITS_EACH, 64)
+        size = (size if most_bits is None else min(size, most_bits)) // 8 * 8
         bits = np.zeros(size, bool)
         for level in range(1, int(levels.max()) + 1):
             entered = keys[levels >= level]
@@ -213,24 +228,41 @@ def _build(shards: int, most_bits: int):
     return build
 
 
-def build_filter(texts: DataFrame, train_tokens: int, max_bytes: int = MAX_BYTES) -> Filter:
-    """The filter over all rows of ``texts`` (text); it reaches the driver, at most ``max_bytes`` of it."""
-    shards = max(1, -(-2 * train_tokens // SHARD_GRAMS))
-    most_bits = max(max_bytes * 8 // shards, 64)
+def shard_count(train_tokens: int) -> int:
+    return max(1, -(-2 * train_tokens // SHARD_GRAMS))
+
+
+def filter_shards(texts: DataFrame, shards: int, most_bits: int | None = None) -> DataFrame:
+    """shard, bits: the filter over all rows of ``texts`` (text); shards without an n-gram have no row."""
     sent = texts.mapInArrow(_send(shards), "shard int, keys binary, n binary")
-    got = {r["shard"]: r["bits"] for r in sent.groupBy("shard").applyInPandas(_build(shards, most_bits), "shard int, bits binary").collect()}
+    return sent.groupBy("shard").applyInPandas(_build(most_bits), "shard int, bits binary")
+
+
+def collected(rows: DataFrame, shards: int, train_tokens: int) -> Filter:
+    got = {r["shard"]: r["bits"] for r in rows.collect()}
     parts = [got.get(s, bytes(8)) for s in range(shards)]
     sizes = np.array([8 * len(p) for p in parts], np.int64)
     return Filter(np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes, train_tokens)
 
 
-def log10_probabilities(own: Filter, keys: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """log10 P(token | token before) of each token; ``known`` are the counts of the tokens themselves."""
+def build_filter(texts: DataFrame, train_tokens: int, max_bytes: int | None = None) -> Filter:
+    """The whole filter on the driver; ``max_bytes`` makes it denser than ``BITS_EACH``, which no score uses."""
+    shards = shard_count(train_tokens)
+    most_bits = None if max_bytes is None else max(max_bytes * 8 // shards, 64)
+    return collected(filter_shards(texts, shards, most_bits), shards, train_tokens)
+
+
+def _pairs(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = np.concatenate([[_START], keys[:-1]])
     before[starts] = _START
+    return pair_hash(before, keys)
+
+
+def log10_probabilities(own: Filter, keys: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """log10 P(token | token before) of each token; ``known`` are the counts of the tokens themselves."""
     context = np.concatenate([[0.0], known[:-1]])
     context[starts] = own_starts(own)
-    pairs, place = np.unique(pair_hash(before, keys), return_inverse=True)
+    pairs, place = np.unique(_pairs(keys, starts), return_inverse=True)
     both = np.minimum(count_of(own.levels(pairs))[place], np.minimum(context, known))
     word = (known + 0.5) / (own.train_tokens + 1.0)
     return np.log10((both + PRIOR * word) / (context + PRIOR))
@@ -241,11 +273,80 @@ def own_starts(own: Filter) -> float:
     return float(count_of(own.levels(np.array([_END_HASH])))[0])
 
 
+def _sums_of_logs(own: Filter | Probed, hashes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """log10 probability of each text."""
+    counts = count_of(own.levels(hashes))
+    return sums(log10_probabilities(own, hashes[tokens], bounds[:-1], counts[tokens]), bounds)
+
+
+def _opened(tokens: bytes, bounds: bytes, hashes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.frombuffer(hashes, "<u8"), np.frombuffer(tokens, "<u4").astype(np.int64), np.frombuffer(bounds, "<u4").astype(np.int64)
+
+
+def _asked(hashes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of a block, in order; their order by shard; the shards in that order."""
+    keys = np.unique(np.concatenate([hashes, _pairs(hashes[tokens], bounds[:-1])]))
+    shard = (keys % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    return keys, order, shard[order]
+
+
+def _ask(shards: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, *packed in zip(*batch.columns):
+                keys, order, shard = _asked(*_opened(*[p.as_py() for p in packed]), shards)
+                keys = keys[order]
+                cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
+                cells = [keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard[cuts[:-1]], pa.int32()), pa.array([block.as_py()] * len(cells), pa.int64()), pa.array(cells, pa.binary())],
+                    names=["shard", "row", "keys"],
+                )
+
+    return ask
+
+
+def _answer(bits: pa.Table, asks: pa.Table) -> pa.Table:
+    """How many levels the shard holds of the n-grams that each block asks for; none if it has no bits."""
+    cells = [np.frombuffer(k.as_py(), "<u8") for k in asks["keys"]]
+    keys, place = np.unique(np.concatenate(cells or [np.zeros(0, np.uint64)]), return_inverse=True)
+    own = np.frombuffer(bits["bits"][0].as_py() if len(bits) else bytes(8), np.uint8)
+    found = Filter(own, np.zeros(1, np.int64), np.array([8 * len(own)]), 0).levels(keys).astype(np.uint8)[place]
+    ends = np.cumsum([0, *map(len, cells)])
+    return pa.table(
+        {"row": asks["row"], "shard": asks["shard"], "found": pa.array([found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())}
+    )
+
+
+def _combine(shards: int, train_tokens: int):
+    def combine(block: pa.Table, answers: pa.Table) -> pa.Table:
+        hashes, tokens, bounds = _opened(*[block[c][0].as_py() for c in ("tokens", "bounds", "hashes")])
+        keys, order, _ = _asked(hashes, tokens, bounds, shards)
+        found = np.zeros(len(keys), np.int64)
+        found[order] = np.frombuffer(b"".join(answers.sort_by("shard")["found"].to_pylist()), np.uint8)
+        scores = _sums_of_logs(Probed(keys, found, train_tokens), hashes, tokens, bounds)
+        return pa.table({"lm_row": block["row"][0].as_py() + np.arange(len(scores)), "lm": scores})
+
+    return combine
+
+
+def probed_scores(blocks: DataFrame, filter_rows: DataFrame, shards: int, train_tokens: int) -> DataFrame:
+    """lm_row, lm: what a broadcast filter would give the texts of ``blocks`` (row, tokens, bounds, hashes)."""
+    asks = blocks.select("row", "tokens", "bounds", "hashes").mapInArrow(_ask(shards), "shard int, row bigint, keys binary")
+    answers = filter_rows.groupBy("shard").cogroup(asks.groupBy("shard")).applyInArrow(_answer, "row bigint, shard int, found binary")
+    return blocks.groupBy("row").cogroup(answers.groupBy("row")).applyInArrow(_combine(shards, train_tokens), "lm_row bigint, lm double")
+
+
 def _score(filter_, head, total: int, distinct: int):
     kind = pa.struct([("hash", pa.int64()), ("n", pa.int64())])
+    names = ["row", "doc_id", "n_tokens", "known", "base", "score", "rest", "tokens", "bounds", "hashes"]
+
+    def kinds(batch: pa.RecordBatch) -> list[pa.DataType]:
+        return [batch.schema.types[0], pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(kind)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, exact = filter_.value, head.value
+        own, exact = filter_ and filter_.value, head.value
         unknown = 0.5 / (total + 0.5 * (distinct + 1))
         base_of = np.log10((exact[1] + 0.5) * (unknown / 0.5))
         row = TaskContext.get().partitionId() << 40
@@ -259,8 +360,7 @@ def _score(filter_, head, total: int, distinct: int):
                 place = np.minimum(np.searchsorted(exact[0], hashes), max(len(exact[0]) - 1, 0))
                 hit = exact[0][place] == hashes if len(exact[0]) else np.zeros(len(hashes), bool)
                 base = np.where(hit, base_of[place] if len(exact[0]) else 0.0, 0.0)
-                counts = count_of(own.levels(hashes))
-                lm = log10_probabilities(own, hashes[tokens], bounds[:-1], counts[tokens])
+                lm = None if own is None else pa.array(_sums_of_logs(own, hashes, tokens, bounds))
                 # the rest of each text's words, for the join
                 text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 rest = ~hit[tokens]
@@ -269,6 +369,7 @@ def _score(filter_, head, total: int, distinct: int):
                 signed = hashes.view(np.int64)[pairs % max(len(hashes), 1)]
                 items = pa.StructArray.from_arrays([pa.array(signed), pa.array(n.astype(np.int64))], fields=list(kind))
                 rows = len(bounds) - 1
+                nothing = pa.nulls(rows, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + np.arange(rows)),
@@ -276,11 +377,16 @@ def _score(filter_, head, total: int, distinct: int):
                         pa.array(np.diff(bounds)),
                         pa.array(sums(hit[tokens].astype(np.int64), bounds)),
                         pa.array(sums(base[tokens], bounds)),
-                        pa.array(sums(lm, bounds)),
+                        pa.nulls(rows, pa.float64()) if lm is None else lm,
                         pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), items),
+                        *[nothing] * 3,
                     ],
-                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "rest"],
+                    names=names,
                 )
+                if own is None:  # what the shards are asked with, as a row of its own
+                    packed = tokens.astype("<u4"), bounds.astype("<u4"), hashes
+                    block = [pa.array([row]), *[pa.nulls(1, t) for t in kinds(batch)], *[pa.array([x.tobytes()], pa.binary()) for x in packed]]
+                    yield pa.RecordBatch.from_arrays(block, names=names)
                 row += rows
 
     return score
@@ -303,16 +409,24 @@ def _scores(docs: DataFrame, id_col: str, text_col: str, held_out: int, head_wor
     train = rows.filter(fold("doc_id") != held_out).select("text")
     counted = materialise(word_counts(train), "words")
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    model = build_filter(train, total, max_bytes)
+    shards = shard_count(total)
+    held = materialise(filter_shards(train, shards), "filter")
+    small = held.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0] <= max_bytes
     top = counted.orderBy(F.desc("n"), "word").limit(head_words).toPandas()  # head_words rows at most
     hashes = word_hashes(pa.array(top["word"], pa.string()))
     hashes[(top["word"] == END).to_numpy(bool)] = _END_HASH
     order = np.argsort(hashes)
     head = (hashes[order], top["n"].to_numpy(np.int64)[order])
-    shared = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(head)
+    shared = spark.sparkContext.broadcast(collected(held, shards, total)) if small else None, spark.sparkContext.broadcast(head)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"row bigint, doc_id {id_type}, n_tokens bigint, known bigint, base double, score double, rest array<struct<hash: bigint, n: bigint>>"
-    scored = materialise(rows.mapInArrow(_score(*shared, total, distinct), schema), "scores")
+    schema += ", tokens binary, bounds binary, hashes binary"
+    written = materialise(rows.mapInArrow(_score(*shared, total, distinct), schema), "scores")
+    scored = written.filter("tokens is null").drop("tokens", "bounds", "hashes")
+    if not small:
+        blocks = written.filter("tokens is not null").select("row", "tokens", "bounds", "hashes")
+        lm = materialise(probed_scores(blocks, held, shards, total), "lm-scores")
+        scored = scored.drop("score").join(lm.withColumnRenamed("lm", "score"), F.col("row") == F.col("lm_row"))
     vocabulary = counted.mapInArrow(_hashed, "hash bigint, count bigint")
     tail = scored.select("row", F.explode("rest").alias("r")).select("row", "r.hash", F.col("r.n").alias("times")).join(vocabulary, "hash", "left")
     c = F.coalesce("count", F.lit(0))

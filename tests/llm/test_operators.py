@@ -545,3 +545,36 @@ def test_language_model_awkward(awkward, empty):
         assert r["n_tokens"] >= 1 and np.isfinite(r["score"]) and np.isfinite(r["base_score"])
     assert {r["n_tokens"] for r in rows if r["doc_id"] in (0, 1, 2)} == {1}
     assert lm_bloom.lm_scores(empty).count() == 0
+
+
+@pytest.mark.parametrize("copies", [1, 4, 16])
+def test_score_error_does_not_grow_with_the_corpus(spark, monkeypatch, copies):
+    """Against exact n-gram counts, with a filter of several shards that is far beyond what may be broadcast."""
+    monkeypatch.setattr(lm_bloom, "SHARD_GRAMS", 5_000)
+    rng = np.random.default_rng(copies)
+    docs = [(k, " ".join(f"w{j}" for j in rng.zipf(1.3, 300) % 5000)) for k in range(60 * copies)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    grams = Counter()
+    for k, t in docs:
+        if zlib.crc32(str(k).encode()) % 5 != 1:
+            grams.update(lm_bloom._gram_hashes(pa.array([t])).tolist())
+
+    class Exact:
+        train_tokens = sum(grams.values()) // 2
+
+        def levels(self, keys):
+            return np.where(n := np.array([grams[k] for k in keys.tolist()]), lm_bloom.quantise(n), 0)
+
+    asked = {r["doc_id"]: r for r in lm_bloom.lm_scores(frame, max_bytes=1024).collect()}
+    held = {r["doc_id"]: r for r in lm_bloom.lm_scores(frame).collect()}
+    assert asked.keys() == held.keys() == {k for k, _ in docs}
+    errors = []
+    for k, t in docs:
+        codes, words, bounds = lm_bloom.batch_words(lm_bloom.lowered(pa.array([t])))
+        hashes = np.append(lm_bloom.word_hashes(words), lm_bloom._END_HASH)
+        tokens, bounds = lm_bloom.with_ends(codes, bounds, len(words))
+        counts = lm_bloom.count_of(Exact().levels(hashes))
+        exact = lm_bloom.log10_probabilities(Exact(), hashes[tokens], bounds[:-1], counts[tokens]).sum()
+        errors.append(abs(asked[k]["score"] - exact) / len(tokens))
+        assert asked[k]["score"] == pytest.approx(held[k]["score"])
+    assert np.mean(errors) < 0.02
