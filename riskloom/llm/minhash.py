@@ -8,8 +8,11 @@ Signatures.  Each shingle is a Poisson process with its weight as rate, driven b
 its hash; every arrival picks a register.  A register keeps the shingle that arrived
 first, so two texts agree in a register with their probability Jaccard similarity.
 A shingle stops once its next arrival is later than the last register's first.
+Links are of sets, so a text whose shingles differ in weight is signed again with
+every weight 1, which two texts share with their set Jaccard similarity; equal
+weights give that signature already.
 
-Candidates.  ``BANDS`` bands of ``ROWS`` registers; texts that share a band are
+Candidates.  ``BANDS`` bands of ``ROWS`` registers of each signature; texts that share a band are
 compared with the least id there, not with each other, so a group of any size costs
 one row per member and band, and the least id comes from a map-side combined
 minimum.  Texts in bands that afterwards still hold more than one component are
@@ -124,6 +127,15 @@ def signatures(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int
     return winner.reshape(n, registers)
 
 
+def _bands(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The bands of all signatures, one after another."""
+    found = found.reshape(-1, bands, rows)
+    band = np.broadcast_to(np.arange(bands, dtype=np.uint64), found.shape[:2]) + np.uint64(1)
+    for k in range(rows):
+        band = mix(band * np.uint64(0x100000001B3) + found[:, :, k])
+    return band.ravel()
+
+
 def _signer(bands: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,15 +143,26 @@ def _signer(bands: int, rows: int):
                 keys, bounds = word_keys(batch.column(1)[at:to])
                 filled = np.diff(bounds) > 0
                 found_text, hashes, weights = weighted(*shingles(keys, bounds))
-                found = signatures(found_text, hashes, weights, to - at, bands * rows).reshape(-1, bands, rows)
-                band = np.broadcast_to(np.arange(bands, dtype=np.uint64), found.shape[:2]) + np.uint64(1)
-                for k in range(rows):
-                    band = mix(band * np.uint64(0x100000001B3) + found[:, :, k])
                 sizes = np.bincount(found_text, minlength=to - at)
+                # texts whose shingles differ in weight, signed as sets too
+                starts = np.flatnonzero(np.diff(found_text, prepend=-1))
+                uneven = np.zeros(to - at, bool)
+                if len(starts):
+                    uneven[found_text[starts]] = np.minimum.reduceat(weights, starts) < np.maximum.reduceat(weights, starts)
+                again = uneven[found_text]
+                number = np.cumsum(uneven) - 1
+                by_weight = signatures(found_text, hashes, weights, to - at, bands * rows)[filled]
+                by_set = signatures(number[found_text[again]], hashes[again], np.ones(again.sum()), int(uneven.sum()), bands * rows)
+                owner = np.repeat(np.concatenate([np.flatnonzero(filled), np.flatnonzero(uneven)]), bands)
+                band = _bands(np.concatenate([by_weight, by_set]), bands, rows)
+                order = np.lexsort((band, owner))
+                owner, band = owner[order], band[order]
+                new = np.concatenate([[True], (np.diff(owner) != 0) | (band[1:] != band[:-1])])[: len(owner)]
+                owner, band = owner[new], band[new]
                 digests = [xxh3_128_digest(keys[a:b].tobytes()) if b > a else None for a, b in zip(bounds[:-1], bounds[1:])]
                 # a text without words has no band
-                cuts = np.concatenate([[0], np.cumsum(filled * bands)]).astype(np.int32)
-                flat = pa.array(band[filled].ravel().view(np.int64))
+                cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=to - at))]).astype(np.int32)
+                flat = pa.array(band.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[at:to], pa.array(digests, pa.binary()), pa.array(sizes), pa.ListArray.from_arrays(pa.array(cuts), flat)],
                     names=["doc_id", "digest", "size", "bands"],

@@ -485,6 +485,18 @@ def test_signature_estimates_probability_jaccard():
     assert (found[0] == found[1]).mean() == pytest.approx(exact, abs=0.03)
 
 
+def test_repeated_passages_do_not_hide_a_pair(spark):
+    """Texts of the same shingles, one of which holds a passage 60 times more: only their sets are alike."""
+    docs = []
+    for k in range(30):
+        cycle = [f"p{k}w{j}" for j in range(25)]
+        rest = [f"q{k}w{j}" for j in range(175)]
+        docs.append((2 * k, " ".join(cycle * 2 + rest)))
+        docs.append((2 * k + 1, " ".join(cycle * 62 + rest)))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == brute_classes(docs) == {k: k // 2 * 2 for k, _ in docs}
+
+
 def test_near_duplicates_awkward(awkward, empty):
     rows = minhash.near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()
