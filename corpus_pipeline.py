@@ -35,7 +35,7 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows with a NULL id are in no class and stay.
     """
     small_batches(spark)
-    kept = minhash.near_duplicates(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = minhash.near_duplicates(docs, count_links=False).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
     named = docs.filter("doc_id is not null").join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id is null"))
 

@@ -21,8 +21,9 @@ shingles in any fixed order of shingles; taken rarest first, this finds what ope
 texts are left to compare, and passages that many texts share bring none together.
 Texts of the smaller component are put in blocks by pivot, and a block is compared
 with all texts of larger components that share such a shingle with any of it, as
-matrix products, so pairs never become rows.  No link between different texts is
-lost to pivots.
+matrix products, so pairs never become rows.  No link between texts of different
+components is lost to pivots; links inside a class, which pivots leave out, are counted
+afterwards, all its texts with each other in such blocks.
 
 Links are pairs whose exact Jaccard similarity of shingle sets is at least
 ``SIMILARITY``; classes are their connected components, found by minimum labels with
@@ -248,29 +249,34 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(counts[met])], names=["slot", "n"])
 
 
+def _alike(sets: pa.ChunkedArray, rows: np.ndarray, columns: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sets at ``rows`` and those at ``columns`` are similar, as a matrix."""
+    cells = [np.frombuffer(c.as_py(), np.uint64) for c in sets]
+    sizes = np.array([len(c) for c in cells])
+    kinds, place, counts = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(cells)), sizes)
+    rank = np.cumsum(counts > 1) - 1  # shingles of one text alone are in no intersection
+    real = counts[place] > 1
+    owner, place = owner[real], rank[place[real]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    both = np.zeros((len(rows), len(columns)), np.float32)
+    for low in range(0, int((counts > 1).sum()), SLICE):
+        a, b = np.searchsorted(place, [low, low + SLICE])
+        present = np.zeros((len(cells), SLICE), np.float32)
+        present[owner[a:b], place[a:b] - low] = 1
+        both += present[rows] @ present[columns].T
+    union = sizes[rows][:, None] + sizes[columns][None, :] - both
+    return both >= similarity * union - 1e-6
+
+
 def _compare(similarity: float):
     def compare(group: pa.Table) -> pa.Table:
         """Links between the row texts and the column texts of a block that are of different parts."""
         reps, parts = group["rep"].to_numpy(), group["part"].to_numpy()
         is_row = group["is_row"].to_numpy(zero_copy_only=False).astype(bool)
-        cells = [np.frombuffer(c.as_py(), np.uint64) for c in group["shingles"]]
-        sizes = np.array([len(c) for c in cells])
-        kinds, place, counts = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(cells)), sizes)
-        rank = np.cumsum(counts > 1) - 1  # shingles of one text alone are in no intersection
-        real = counts[place] > 1
-        owner, place = owner[real], rank[place[real]]
-        order = np.argsort(place, kind="stable")
-        owner, place = owner[order], place[order]
         rows, columns = np.flatnonzero(is_row), np.flatnonzero(~is_row)
-        both = np.zeros((len(rows), len(columns)), np.float32)
-        for low in range(0, int((counts > 1).sum()), SLICE):
-            a, b = np.searchsorted(place, [low, low + SLICE])
-            present = np.zeros((len(cells), SLICE), np.float32)
-            present[owner[a:b], place[a:b] - low] = 1
-            both += present[rows] @ present[columns].T
-        union = sizes[rows][:, None] + sizes[columns][None, :] - both
-        hit = (both >= similarity * union - 1e-6) & (parts[rows][:, None] != parts[columns][None, :])
+        hit = _alike(group["shingles"], rows, columns, similarity) & (parts[rows][:, None] != parts[columns][None, :])
         x, y = np.nonzero(hit)
         x, y = reps[rows[x]], reps[columns[y]]
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
@@ -336,19 +342,52 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id, n_links of every row of ``docs``.
+def _degrees(similarity: float):
+    def degrees(key: tuple, group: pa.Table) -> pa.Table:
+        """Links between the texts of two blocks of a class, or inside one, by text."""
+        _, first, second = (k.as_py() for k in key)
+        reps, salt = group["rep"].to_numpy(), group["salt"].to_numpy()
+        rows, columns = np.flatnonzero(salt == first), np.flatnonzero(salt == second)
+        hit = _alike(group["shingles"], rows, columns, similarity)
+        if first == second:
+            np.fill_diagonal(hit, False)
+            return pa.table({"rep": reps[rows], "n": hit.sum(axis=1).astype(np.int64)})
+        n = np.concatenate([hit.sum(axis=1), hit.sum(axis=0)]).astype(np.int64)
+        return pa.table({"rep": np.concatenate([reps[rows], reps[columns]]), "n": n})
+
+    return degrees
+
+
+def link_counts(labels: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """rep, n_links: with how many others of its class (node, label) each text is linked.
+
+    Exact, so the work grows with the square of a class; the two texts of a pair are linked.
+    """
+    sizes = labels.groupBy("label").agg(F.count("*").alias("members")).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    placed = labels.join(sizes, "label").select(
+        F.col("node").alias("rep"), "label", "members", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("salt")
+    )
+    pairs = placed.filter("members = 2").select("rep", F.lit(1).cast("bigint").alias("n"))
+    other = placed.filter("members > 2").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    other = other.select("rep", "label", "salt", F.least("salt", "other").alias("first"), F.greatest("salt", "other").alias("second"))
+    blocks = other.join(sets, F.col("rep") == F.col("doc_id")).select("rep", "label", "salt", "first", "second", "shingles")
+    counted = blocks.groupBy("label", "first", "second").applyInArrow(_degrees(similarity), "rep bigint, n bigint")
+    return pairs.unionByName(counted).groupBy("rep").agg(F.sum("n").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, count_links: bool = True) -> DataFrame:
+    """doc_id, class_id, n_links of every row of ``docs``; no n_links without ``count_links``.
 
     ``class_id`` is the least id of the row's class; ``n_links`` counts the different
-    texts it is linked with directly.  NULL ids and texts without a word (NULL, empty,
+    texts of its class it is linked with directly, all of them.  NULL ids and texts without a word (NULL, empty,
     signs alone) are in no class with others: their class is their own id.  Rows with
     equal ids are one document.  An empty table gives an empty result.  Only the id
     and text columns are read.
     """
-    return finished(lambda: _classes(docs, id_col, text_col, similarity, bands, rows), "classes")
+    return finished(lambda: _classes(docs, id_col, text_col, similarity, bands, rows, count_links), "classes")
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int) -> DataFrame:
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int, count_links: bool) -> DataFrame:
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = materialise(rows_in.mapInArrow(_signer(bands, rows), "doc_id bigint, digest binary, size bigint, bands array<bigint>"), "signed")
     real = signed.filter("doc_id is not null and digest is not null")
@@ -369,8 +408,11 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, ban
     more = open_links(placed, left_open, similarity)
     links = materialise(links.union(more).distinct(), "links")
     labels = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy("a").count()
-    classes = texts.join(labels, F.col("rep") == F.col("node"), "left").join(degree, F.col("rep") == F.col("a"), "left")
-    classes = classes.select(F.col("digest").alias("own"), F.coalesce("label", "rep").alias("class_id"), F.coalesce("count", F.lit(0)).alias("n_links"))
+    classes = texts.join(labels, F.col("rep") == F.col("node"), "left").select("rep", F.col("digest").alias("own"), F.coalesce("label", "rep").alias("class_id"))
     joined = signed.select("doc_id", "digest").join(classes, F.col("digest") == F.col("own"), "left")
-    return joined.select("doc_id", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("class_id")), "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    class_id = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("class_id")), "doc_id").alias("class_id")
+    if not count_links:
+        return joined.select("doc_id", class_id)
+    degree = link_counts(materialise(labels, "labels"), sets, similarity).withColumnRenamed("rep", "linked")
+    joined = joined.join(degree, F.col("rep") == F.col("linked"), "left")
+    return joined.select("doc_id", class_id, F.coalesce("n_links", F.lit(0)).alias("n_links"))

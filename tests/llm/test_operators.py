@@ -485,6 +485,17 @@ def test_signature_estimates_probability_jaccard():
     assert (found[0] == found[1]).mean() == pytest.approx(exact, abs=0.03)
 
 
+def test_links_are_counted_inside_a_class(spark, monkeypatch):
+    """Near copies that all are similar, in several blocks, beside a pair and a text alone."""
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    base = [f"w{k}" for k in range(120)]
+    docs = [(k, " ".join(f"x{k}" if k and j == 30 + k % 3 else w for j, w in enumerate(base))) for k in range(40)]
+    docs += [(50, " ".join(f"y{j}" for j in range(90))), (51, " ".join(f"y{j}" for j in range(91))), (52, "alone here")]
+    docs.append((60, docs[7][1]))  # a copy of one text is no other text
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["n_links"] for r in rows} == {**{k: 39 for k in range(40)}, 50: 1, 51: 1, 52: 0, 60: 39}
+
+
 def test_repeated_passages_do_not_hide_a_pair(spark):
     """Texts of the same shingles, one of which holds a passage 60 times more: only their sets are alike."""
     docs = []
