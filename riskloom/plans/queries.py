@@ -769,12 +769,16 @@ def q_feature_sets(spark, sf):
     return learners.feature_sets(_train(spark, sf), PREDICTORS, "flagged", "record_id")
 
 
+@query
+def q_selected_sets(spark, sf):
+    return learners.selected_sets(selection.consensus(fake_scores(spark, sf)), TOP)
+
+
 @query
 def q_grid_search(spark, sf):
-    sets = {"FS1_All": PREDICTORS, "FS_Price": ["ord_price_gappy", "ord_totalprice", "cust_acctbal"]}
-    models = [m for m in grid.MODELS if m.id in ("LR_L2", "DT_d5", "GNB")]
-    combos = grid.combinations(models, grid.SCALERS[:1], grid.IMBALANCE[:2])
-    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id", combos).results
+    """The whole catalogue over the seven candidate sets: 39 experiments a set."""
+    sets = grid.sets_from_frame(q_feature_sets(spark, sf))
+    return grid.run_grid(_model_table(spark, sf), sets, "flagged", "sample_group", "record_id").results
 
 
 # -- operators over real scores, artifacts and streams -----------------------

@@ -93,3 +93,28 @@ def test_grid_ranks_and_survives_failures(toy, monkeypatch):
         if r["error"]:
             assert len(r["error"]) <= 100 and r["oot_roc_auc"] == 0.0 and r["cv_roc_auc_mean"] == 0.0
     assert all(0.3 < r["oot_roc_auc"] < 0.9 for r in good if r["feature_set"] == "weak")
+
+
+def test_grid_query_runs_the_whole_catalogue(spark, monkeypatch):
+    from riskloom.plans import queries
+
+    asked = {}
+
+    def run(df, sets, target, group, ident, combos=None, **options):
+        asked.update(sets=sets, combos=grid.combinations() if combos is None else combos, options=options)
+        return grid.GridRun(df, df)
+
+    names = [f"FS{k}" for k in range(1, 8)]
+    frame = spark.createDataFrame([(n, 1, "cust_acctbal") for n in names], "feature_set string, position int, feature string")
+    monkeypatch.setattr(queries.learners, "feature_sets", lambda *a, **kw: frame)
+    monkeypatch.setattr(queries.grid, "run_grid", run)
+    queries.q_grid_search(spark, "/root/testdata/sf0.001")
+    assert list(asked["sets"]) == names and not asked["options"]
+    assert asked["combos"] == grid.combinations() and len(asked["combos"]) == 39
+
+
+def test_selected_sets_query(spark):
+    from riskloom.plans import queries
+
+    found = {r["feature_set"] for r in queries.q_selected_sets(spark, "/root/testdata/sf0.001").select("feature_set").distinct().collect()}
+    assert "Selected" in found
