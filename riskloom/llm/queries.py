@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.llm import decontaminate, langid, lm_bloom, minhash, packing, quality_llr, token_counts, token_planes, toxicity, url_tree
+from riskloom.llm import decontaminate, langid, line_dedup, lm_bloom, minhash, packing, periodic, quality_llr, token_counts, token_planes
+from riskloom.llm import toxicity, url_tree, variants
 from riskloom.llm.common import table
 from riskloom.sources.scratch import scratch_path
 
@@ -73,6 +74,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_bloom.lm_scores(table(spark, sf_dir, "documents"))
 
 
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = periodic.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic.run_digests(periodic.periodic_runs(planted))
+
+
+@query("op12_line_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = variants.with_planted_slips(variants.letter_runs(table(spark, sf_dir, "documents")))
+    return variants.spelling_variants(variants.vocabulary(runs))
+
+
 # Words as the contract has them; windows are compared as joined strings, since words hold no blank.
 OP6 = r"""
 WITH docs AS (
@@ -107,4 +126,22 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN who USING (r)
 """
 
-ORACLES: dict[str, str] = {"op6_decontamination": OP6}
+# A key's code points are counted after stripping; the smallest document keeps all its lines of the key.
+OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), cut AS (
+  SELECT r, doc_id, i, lines[i] AS line,
+    translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM docs)
+), owners AS (
+  SELECT k, min(doc_id) AS owner FROM cut WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT r, doc_id, i, line, coalesce(doc_id > owner, false) AS gone FROM cut LEFT JOIN owners USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r, doc_id
+"""
+
+ORACLES: dict[str, str] = {"op6_decontamination": OP6, "op12_line_dedup": OP12}
