@@ -72,7 +72,7 @@ def _halved(rows: DataFrame) -> DataFrame:
 
 
 KEY = ["base", "low", "high", "before", "behind"]
-_SHORT = F.expr("length(word) = base")  # a block without such a word has no pair
+_SHORT = "length(word) = base"  # a block without such a word has no pair
 
 
 def blocks(words: DataFrame, most: int = BLOCK) -> list[DataFrame]:
@@ -84,7 +84,7 @@ def blocks(words: DataFrame, most: int = BLOCK) -> list[DataFrame]:
     while True:
         # a base of one letter or none cannot be halved: its only interval is the word
         halved = materialise(_halved(rows.filter("high - low > 1")).unionByName(_whole(rows.filter("high - low < 2"))), "halved")
-        large = halved.filter("high - low > 1").groupBy(*KEY).agg(F.count("*").alias("size"), F.max(_SHORT).alias("short"))
+        large = halved.filter("high - low > 1").groupBy(*KEY).agg(F.count("*").alias("size"), F.max(F.expr(_SHORT)).alias("short"))
         large = large.filter((F.col("size") > most) & F.col("short")).select(*KEY)
         large = materialise(large, "large")
         if large.isEmpty():
@@ -99,7 +99,7 @@ def _whole(rows: DataFrame) -> DataFrame:
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
-    grouped = rows.groupBy(*KEY).agg(F.collect_list(F.struct("core", "word", "n")).alias("words"), F.max(_SHORT).alias("short"))
+    grouped = rows.groupBy(*KEY).agg(F.collect_list(F.struct("core", "word", "n")).alias("words"), F.max(F.expr(_SHORT)).alias("short"))
     return grouped.filter((F.size("words") > 1) & F.col("short")).select("base", "low", "high", "words")
 
 
