@@ -39,7 +39,9 @@ def letter_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, run: every maximal run of the letters, A-Z lower-cased."""
     text = F.col(text_col).cast("string")
     # without a capital beyond A-Z in the text, the fast built-in does the same to a run
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.rlike(_CAPITALS).alias("capitals"), F.explode(F.split(text, NOT_LETTERS)).alias("run"))
+    # computed before the explode, so that no row of a run carries its text
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.rlike(_CAPITALS).alias("capitals"), F.split(text, NOT_LETTERS).alias("runs"))
+    rows = rows.select("doc_id", "capitals", F.explode("runs").alias("run"))
     run = F.when(F.col("capitals"), F.translate("run", UPPER, LOWER)).otherwise(F.lower("run"))
     return rows.filter("run <> ''").select("doc_id", run.alias("run"))
 
