@@ -26,7 +26,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskloom.llm.decontaminate import LOWER, UPPER
+from riskloom.llm.decontaminate import lowered
 from riskloom.sources.scratch import drop_scratch, finished, materialise, scratch_path
 
 LEAST = 10
@@ -45,11 +45,6 @@ def line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACE))
 
 
-def lowered(text: Column) -> Column:
-    """A-Z lower-cased; texts of ASCII alone take the fast built-in, which is the same for them."""
-    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-
-
 def text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, digest (of the text), at (place of the line, from 0), h1, h2 of every line with a key of ``LEAST`` code points."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

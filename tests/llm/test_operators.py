@@ -352,13 +352,37 @@ def test_contamination(spark, awkward, empty):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - bad
 
 
-def test_contamination_without_broadcast(spark, monkeypatch):
+@pytest.mark.parametrize("most,piece", [(700, 4096), (10**6, 5)])
+def test_contamination_in_rounds_and_pieces(spark, monkeypatch, most, piece):
+    """Neither a benchmark beyond one broadcast nor cuts of the texts change a result."""
     docs, bench = table(spark, SF, "documents"), table(spark, SF, "benchmark")
+    if piece < 100:
+        docs = docs.filter("length(text) < 3000")
     one = key(decontaminate.contamination(docs, bench).collect())
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+    monkeypatch.setattr(decontaminate, "PIECE", piece)
     assert key(decontaminate.contamination(docs, bench).collect()) == one
 
 
+@pytest.mark.parametrize("mark", [" ", ".", "'", ":", "\n"])
+def test_contamination_of_greek(spark, mark):
+    """Capital sigma lower-cases by context, which the contract's A-Z lowering must not."""
+    words = ["ΑΒΓΔΕΖΗΣ", "ΗΣ", "ΑΒ", "ας", "ΣΑΣ", "İstanbul", "K", "a", "b", "c", "d", "E", "f"]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id int, text string")
+    docs = spark.createDataFrame([(1, mark.join(words)), (2, mark.join(w.lower() for w in words))], "doc_id int, text string")
+    got = {r["doc_id"]: r["n_hit"] for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: 13, 2: 0}
+
+
+def test_clean_rows_stay_beside_hits_of_the_same_id(spark):
+    bench = spark.createDataFrame([(1, "one two three four")], "item_id int, text string")
+    rows = [(None, "one two three four"), (None, "clean"), (None, "clean"), (5, "One two. Three four"), (5, "also clean"), (6, "clean"), (None, None)]
+    kept = decontaminate.without_hits(spark.createDataFrame(rows, "doc_id int, text string"), bench).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [rows[k] for k in (1, 2, 4, 5, 6)]))
+    named = spark.createDataFrame([("a", "one two three four"), ("b", "clean")], "doc_id string, text string")
+    assert [r["doc_id"] for r in decontaminate.without_hits(named, bench).collect()] == ["b"]
+
+
 # --- token counts and planes
 
 
