@@ -171,9 +171,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sum of ``values`` between bounds."""
-    total = np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    """Sum of ``values`` between bounds, each from its own values alone, so that equal texts get equal sums."""
+    full = np.flatnonzero(bounds[1:] > bounds[:-1])
+    out = np.zeros(len(bounds) - 1, values.dtype)
+    if len(full):
+        out[full] = np.add.reduceat(values[: bounds[-1]], bounds[full])
+    return out
 
 
 def labelled_ids(labels: DataFrame, label: str, per_class: int, held_out: int | None = None) -> DataFrame:

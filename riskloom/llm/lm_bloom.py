@@ -1,20 +1,22 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
-Training tokens are lower-cased (A-Z) words and one end per text.  Two things are
-gathered from all training texts:
-
-* exact word counts, a table; base scores join it;
-* counts of words and of pairs of adjacent tokens, which the filter holds: an n-gram
-  with quantised count q (logarithmic, base ``LEVEL_BASE``) is entered q times,
-  hashed with 1 .. q.  A count is read back by probing 1, 2, ... until a probe misses.
-
-The filter is split into shards by hash.  Tasks send packed arrays of n-gram hashes
-to the shards, each shard counts its n-grams and builds its own bits, so no count
-table is ever in one place.  Its size follows the number of entries, ``BITS_EACH``
-bits each at any size, so its false-positive rate does not depend on the corpus.  The
-shards are a written table.  Up to ``MAX_BYTES`` they are broadcast; a larger filter
-stays where it is: blocks of texts send the packed hashes of their distinct n-grams to
-the shards, which probe them and send a byte per n-gram back.
+Training tokens are lower-cased (A-Z) words and one end per text.  Counts of words and
+of pairs of adjacent tokens are gathered from all training texts into a filter: an
+n-gram with quantised count q (logarithmic, base ``LEVEL_BASE``) is entered q times,
+hashed with 1 .. q.  A count is read back by probing 1, 2, ... until a probe misses.
+
+The filter is split into shards by hash, as many as the corpus needs for about
+``SHARD_GRAMS`` n-grams each.  Tasks send packed n-grams to the shards, each shard
+counts its own and builds its bits, so no count table is ever in one place.  Filter
+size follows the number of entries, ``BITS_EACH`` bits each, so its false-positive rate
+does not depend on the corpus.  Shards also keep the exact counts of their words, for
+the base score.
+
+Since the filter grows with the corpus it is not broadcast, at no size: blocks of
+texts send their distinct n-grams to the shards, which probe them and send back a byte
+per n-gram and a count per word.  What travels is packed: shard numbers come from one
+hash, so 40 more bits tell the pairs of a shard of any corpus apart (one in a million
+shares them), sorted and written as byte planes for the shuffle's compression.
 
 A token's probability is the pair count smoothed by a Dirichlet prior of the word
 probability, both from probes.
@@ -26,25 +28,26 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import batch_words, fold, mix, steps, sums, word_hashes
+from riskloom.llm.common import batch_words, fold, mix, small_batches, steps, sums, word_hashes
 from riskloom.sources.scratch import finished, materialise
 
 LEVEL_BASE = 1.4
 HASHES = 4
 BITS_EACH = 10
-MAX_BYTES = 48 << 20
 # N-grams that a shard is meant to count, and that a task gathers before it sends them.
 SHARD_GRAMS = 1_000_000
-GATHERED = 1_000_000
+GATHERED = 3_000_000
+# Text of a block that asks the shards at once.
+BLOCK_BYTES = 4 << 20
+# About the bytes of a token; it only sets the number of shards.
+TOKEN_BYTES = 6
 PRIOR = 200.0
-# Words whose exact counts go to every worker; the rest is joined.
-HEAD = 100_000
+_PAIR_BITS = np.uint64(40)
 
 END = ""  # no word is empty
 _END_HASH = np.uint64(0x5E4D0F1E9A8B7C6D)
@@ -92,20 +95,13 @@ class Probed:
 
 @dataclass
 class Filter:
-    """Bit arrays of the shards, one after another."""
+    """The bits of one shard."""
 
     bits: np.ndarray  # uint8
-    starts: np.ndarray  # first bit of each shard
-    sizes: np.ndarray  # bits of each shard
-    train_tokens: int
-
-    def _slots(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        shard = (keys % np.uint64(len(self.sizes))).astype(np.int64)
-        yield from (self.starts[shard] + slot for slot in slots(keys, np.full(len(keys), level), self.sizes[shard]))
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
         found = np.ones(len(keys), bool)
-        for slot in self._slots(keys, level):
+        for slot in slots(keys, np.full(len(keys), level), 8 * len(self.bits)):
             found &= (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
         return found
 
@@ -135,130 +131,126 @@ def slots(keys: np.ndarray, levels: np.ndarray, sizes: np.ndarray | int) -> Iter
         yield ((base + np.uint64(k) * step) % sizes).astype(np.int64)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words of the training texts, gathered per task."""
-    held: list[pa.Table] = []
-    rows = 0
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(keys ^ np.uint64(0x8CB92BA72F3D8DD7)) % np.uint64(shards)).astype(np.int64)
 
-    def merged() -> pa.Table:
-        return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
-    for batch in batches:
-        for at, to in steps(batch.column(0)):
-            codes, words, bounds = batch_words(lowered(batch.column(0)[at:to]))
-            n = np.bincount(codes, minlength=len(words))
-            own = np.flatnonzero(n)
-            held.append(pa.table({"word": pa.concat_arrays([words.take(pa.array(own)), pa.array([END])]), "n": pa.array(np.append(n[own], len(bounds) - 1))}))
-            rows += len(own)
-            if rows > GATHERED:
-                table = merged()
-                held, rows = [table], table.num_rows
-                if rows > GATHERED // 2:
-                    yield from table.to_batches()
-                    held, rows = [], 0
-    if held:
-        yield from merged().to_batches()
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """word, n: exact counts over all rows of ``texts`` (text); the end's word is the empty string."""
-    return texts.mapInArrow(_word_counts, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+def in_shard(pairs: np.ndarray) -> np.ndarray:
+    """What tells a pair from the others of its shard."""
+    return pairs & ((np.uint64(1) << _PAIR_BITS) - np.uint64(1))
 
 
-def _gram_hashes(texts: pa.Array) -> np.ndarray:
-    """Hashes of all tokens and all pairs, the first of which follows a start."""
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of each value, first all lowest ones, then all second ones, ..."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()
+
+
+def from_planes(cell: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(cell) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(cell, np.uint8).reshape(width, -1).T
+    return out.view("<u8").reshape(-1)
+
+
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words and, last, of the end; the place there of each token; bounds of the texts."""
     codes, words, bounds = batch_words(lowered(texts))
-    hashes = np.append(word_hashes(words), _END_HASH)
     tokens, bounds = with_ends(codes, bounds, len(words))
-    keys = hashes[tokens]
+    return np.append(word_hashes(words), _END_HASH), tokens, bounds
+
+
+def _pairs(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
     before = np.concatenate([[_START], keys[:-1]])
-    before[bounds[:-1]] = _START
-    return np.concatenate([keys, pair_hash(before, keys)])
+    before[starts] = _START
+    return pair_hash(before, keys)
+
+
+def _gram_hashes(texts: pa.Array) -> np.ndarray:
+    """Hashes of all tokens and all pairs, the first of which follows a start."""
+    hashes, tokens, bounds = _tokens(texts)
+    return np.concatenate([hashes[tokens], _pairs(hashes[tokens], bounds[:-1])])
+
+
+def _cells(shards: int, shard: np.ndarray, *columns: tuple[np.ndarray, int]) -> Iterator[list[bytes]]:
+    """For each shard number the planes of its part of the columns, which are in order of shard."""
+    cuts = np.searchsorted(shard, np.arange(shards + 1))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield [planes(values[a:b], width) for values, width in columns]
+
+
+def _counted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(keys) else n
 
 
 def _send(shards: int):
+    names = ["shard", "words", "word_n", "pairs", "pair_n"]
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        words: list[tuple[np.ndarray, np.ndarray]] = []
+        pairs: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            order = np.argsort(keys % np.uint64(shards), kind="stable")
-            keys, n = keys[order], n[order]
-            cuts = np.searchsorted(keys % np.uint64(shards), np.arange(shards + 1, dtype=np.uint64))
-            full = [s for s in range(shards) if cuts[s] < cuts[s + 1]]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(full, pa.int32()),
-                    pa.array([keys[cuts[s] : cuts[s + 1]].tobytes() for s in full], pa.binary()),
-                    pa.array([n[cuts[s] : cuts[s + 1]].astype("<u4").tobytes() for s in full], pa.binary()),
-                ],
-                names=["shard", "keys", "n"],
-            )
+            keys, n = _counted(*[np.concatenate(x) for x in zip(*words)])
+            shard = shard_of(keys, shards)
+            order = np.argsort(shard, kind="stable")
+            word_cells = _cells(shards, shard[order], (keys[order], 8), (n[order], 6))
+            keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+            words.clear()
+            pairs.clear()
+            shard, keys = shard_of(keys, shards), in_shard(keys)
+            order = np.lexsort((keys, shard))
+            pair_cells = _cells(shards, shard[order], (keys[order], 5), (n[order], 4))
+            rows = [(k, *w, *p) for k, (w, p) in enumerate(zip(word_cells, pair_cells)) if w[0] or p[0]]
+            kinds = [pa.int32()] + [pa.binary()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
             for at, to in steps(batch.column(0)):
-                held.append(_gram_hashes(batch.column(0)[at:to]))
-                if sum(map(len, held)) > GATHERED:
+                hashes, tokens, bounds = _tokens(batch.column(0)[at:to])
+                n = np.bincount(tokens, minlength=len(hashes))
+                words.append((hashes[n > 0], n[n > 0]))
+                pairs.append(_pairs(hashes[tokens], bounds[:-1]))
+                if sum(map(len, pairs)) > GATHERED:
                     yield out()
-        if held:
+        if words:
             yield out()
 
     return send
 
 
-def _build(most_bits: int | None):
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(b, "<u8") for b in group["keys"]])
-        n = np.concatenate([np.frombuffer(b, "<u4") for b in group["n"]]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        keys, n = keys[first], np.add.reduceat(n, first)
-        levels = quantise(n)
-        size = max(int(levels.sum()) * BITS_EACH, 64)
-        size = (size if most_bits is None else min(size, most_bits)) // 8 * 8
-        bits = np.zeros(size, bool)
-        for level in range(1, int(levels.max()) + 1):
-            entered = keys[levels >= level]
-            for slot in slots(entered, np.full(len(entered), level), size):
-                bits[slot] = True
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
-
-    return build
-
-
-def shard_count(train_tokens: int) -> int:
-    return max(1, -(-2 * train_tokens // SHARD_GRAMS))
-
+def _built(group: pa.Table) -> pa.Table:
+    """One shard: its filter's bits, and the exact counts of its words."""
+    column = lambda name, width: np.concatenate([from_planes(x.as_py(), width) for x in group[name]])
+    words, word_n = _counted(column("words", 8), column("word_n", 6).astype(np.int64))
+    pairs, pair_n = _counted(column("pairs", 5), column("pair_n", 4).astype(np.int64))
+    keys, levels = np.concatenate([words, pairs]), quantise(np.concatenate([word_n, pair_n]))
+    size = max(int(levels.sum()) * BITS_EACH, 64) // 8 * 8
+    bits = np.zeros(size, bool)
+    for level in range(1, int(levels.max()) + 1):
+        entered = keys[levels >= level]
+        for slot in slots(entered, np.full(len(entered), level), size):
+            bits[slot] = True
+    cells = [np.packbits(bits, bitorder="little").tobytes(), words.tobytes(), planes(word_n, 8)]
+    numbers = [pa.array([int(word_n.sum())]), pa.array([len(words)])]
+    return pa.table([group["shard"][:1].combine_chunks(), *[pa.array([c], pa.binary()) for c in cells], *numbers], names=["shard", "bits", "words", "word_n", "total", "distinct"])
 
-def filter_shards(texts: DataFrame, shards: int, most_bits: int | None = None) -> DataFrame:
-    """shard, bits: the filter over all rows of ``texts`` (text); shards without an n-gram have no row."""
-    sent = texts.mapInArrow(_send(shards), "shard int, keys binary, n binary")
-    return sent.groupBy("shard").applyInPandas(_build(most_bits), "shard int, bits binary")
 
+SHARD = "shard int, bits binary, words binary, word_n binary, total bigint, distinct bigint"
 
-def collected(rows: DataFrame, shards: int, train_tokens: int) -> Filter:
-    got = {r["shard"]: r["bits"] for r in rows.collect()}
-    parts = [got.get(s, bytes(8)) for s in range(shards)]
-    sizes = np.array([8 * len(p) for p in parts], np.int64)
-    return Filter(np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes, sizes, train_tokens)
 
+def shard_count(text_bytes: int) -> int:
+    return max(1, -(-2 * (text_bytes // TOKEN_BYTES) // SHARD_GRAMS))
 
-def build_filter(texts: DataFrame, train_tokens: int, max_bytes: int | None = None) -> Filter:
-    """The whole filter on the driver; ``max_bytes`` makes it denser than ``BITS_EACH``, which no score uses."""
-    shards = shard_count(train_tokens)
-    most_bits = None if max_bytes is None else max(max_bytes * 8 // shards, 64)
-    return collected(filter_shards(texts, shards, most_bits), shards, train_tokens)
 
-
-def _pairs(keys: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[_START], keys[:-1]])
-    before[starts] = _START
-    return pair_hash(before, keys)
+def filter_shards(texts: DataFrame, shards: int) -> DataFrame:
+    """The filter over all rows of ``texts`` (text), one row per shard; shards without an n-gram have none."""
+    sent = texts.mapInArrow(_send(shards), "shard int, words binary, word_n binary, pairs binary, pair_n binary")
+    return sent.groupBy("shard").applyInArrow(_built, SHARD)
 
 
-def log10_probabilities(own: Filter, keys: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
+def log10_probabilities(own: Probed, keys: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
     """log10 P(token | token before) of each token; ``known`` are the counts of the tokens themselves."""
     context = np.concatenate([[0.0], known[:-1]])
     context[starts] = own_starts(own)
@@ -268,186 +260,127 @@ def log10_probabilities(own: Filter, keys: np.ndarray, starts: np.ndarray, known
     return np.log10((both + PRIOR * word) / (context + PRIOR))
 
 
-def own_starts(own: Filter) -> float:
+def own_starts(own: Probed) -> float:
     """As many starts as ends."""
     return float(count_of(own.levels(np.array([_END_HASH])))[0])
 
 
-def _sums_of_logs(own: Filter | Probed, hashes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """log10 probability of each text."""
-    counts = count_of(own.levels(hashes))
-    return sums(log10_probabilities(own, hashes[tokens], bounds[:-1], counts[tokens]), bounds)
-
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tokens of so much text, as places among the block's distinct words."""
+    block = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for at, to in steps(batch.column(1), BLOCK_BYTES):
+            hashes, tokens, bounds = _tokens(batch.column(1)[at:to])
+            used = np.bincount(tokens, minlength=len(hashes)) > 0
+            cells = [planes((np.cumsum(used) - 1)[tokens], 4), planes(np.diff(bounds), 4), hashes[used].tobytes()]
+            ids = pa.ListArray.from_arrays(pa.array([0, to - at], pa.int32()), batch.column(0)[at:to])
+            yield pa.RecordBatch.from_arrays([pa.array([block]), ids, *[pa.array([c], pa.binary()) for c in cells]], names=["block", "ids", "tokens", "lengths", "hashes"])
+            block += 1
 
-def _opened(tokens: bytes, bounds: bytes, hashes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.frombuffer(hashes, "<u8"), np.frombuffer(tokens, "<u4").astype(np.int64), np.frombuffer(bounds, "<u4").astype(np.int64)
 
+class _Block:
+    """A block's tokens, and its n-grams in the order in which shards are asked."""
 
-def _asked(hashes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of a block, in order; their order by shard; the shards in that order."""
-    keys = np.unique(np.concatenate([hashes, _pairs(hashes[tokens], bounds[:-1])]))
-    shard = (keys % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    return keys, order, shard[order]
+    def __init__(self, tokens: bytes, lengths: bytes, hashes: bytes, shards: int):
+        self.hashes = np.frombuffer(hashes, "<u8")
+        self.tokens = from_planes(tokens, 4).astype(np.int64)
+        self.bounds = np.concatenate([[0], np.cumsum(from_planes(lengths, 4).astype(np.int64))])
+        self.pairs = np.unique(_pairs(self.hashes[self.tokens], self.bounds[:-1]))
+        self.word_shard, self.pair_shard = shard_of(self.hashes, shards), shard_of(self.pairs, shards)
+        self.word_order = np.argsort(self.word_shard, kind="stable")
+        self.pair_order = np.lexsort((in_shard(self.pairs), self.pair_shard))
 
 
 def _ask(shards: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, *packed in zip(*batch.columns):
-                keys, order, shard = _asked(*_opened(*[p.as_py() for p in packed]), shards)
-                keys = keys[order]
-                cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
-                cells = [keys[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard[cuts[:-1]], pa.int32()), pa.array([block.as_py()] * len(cells), pa.int64()), pa.array(cells, pa.binary())],
-                    names=["shard", "row", "keys"],
-                )
+            for number, *packed in zip(*[batch.column(batch.schema.get_field_index(c)) for c in ("block", "tokens", "lengths", "hashes")]):
+                block = _Block(*[p.as_py() for p in packed], shards)
+                words = _cells(shards, block.word_shard[block.word_order], (block.hashes[block.word_order], 8))
+                pairs = _cells(shards, block.pair_shard[block.pair_order], (in_shard(block.pairs[block.pair_order]), 5))
+                rows = [(k, number.as_py(), *w, *p) for k, (w, p) in enumerate(zip(words, pairs)) if w[0] or p[0]]
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["shard", "block", "words", "pairs"])
 
     return ask
 
 
-def _answer(bits: pa.Table, asks: pa.Table) -> pa.Table:
-    """How many levels the shard holds of the n-grams that each block asks for; none if it has no bits."""
-    cells = [np.frombuffer(k.as_py(), "<u8") for k in asks["keys"]]
-    keys, place = np.unique(np.concatenate(cells or [np.zeros(0, np.uint64)]), return_inverse=True)
-    own = np.frombuffer(bits["bits"][0].as_py() if len(bits) else bytes(8), np.uint8)
-    found = Filter(own, np.zeros(1, np.int64), np.array([8 * len(own)]), 0).levels(keys).astype(np.uint8)[place]
-    ends = np.cumsum([0, *map(len, cells)])
-    return pa.table(
-        {"row": asks["row"], "shard": asks["shard"], "found": pa.array([found[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())}
-    )
-
-
-def _combine(shards: int, train_tokens: int):
-    def combine(block: pa.Table, answers: pa.Table) -> pa.Table:
-        hashes, tokens, bounds = _opened(*[block[c][0].as_py() for c in ("tokens", "bounds", "hashes")])
-        keys, order, _ = _asked(hashes, tokens, bounds, shards)
-        found = np.zeros(len(keys), np.int64)
-        found[order] = np.frombuffer(b"".join(answers.sort_by("shard")["found"].to_pylist()), np.uint8)
-        scores = _sums_of_logs(Probed(keys, found, train_tokens), hashes, tokens, bounds)
-        return pa.table({"lm_row": block["row"][0].as_py() + np.arange(len(scores)), "lm": scores})
+def _answer(shard: pa.Table, asks: pa.Table) -> pa.Table:
+    """Levels of the n-grams that each block asks for, a byte each, and the exact counts of its words."""
+    words = [from_planes(c.as_py(), 8) for c in asks["words"]]
+    pairs = [from_planes(c.as_py(), 5) for c in asks["pairs"]]
+    filter_ = Filter(np.frombuffer(shard["bits"][0].as_py() if len(shard) else bytes(8), np.uint8))
+    known = np.frombuffer(shard["words"][0].as_py() if len(shard) else b"", "<u8")
+    counts = np.append(from_planes(shard["word_n"][0].as_py() if len(shard) else b"", 8), 0)
+    levels, exact = [], []
+    for w, p in zip(words, pairs):
+        levels.append(filter_.levels(np.concatenate([w, p])).astype(np.uint8).tobytes())
+        place = np.searchsorted(known, w)
+        hit = np.append(known, 0)[place] == w
+        hit &= place < len(known)
+        exact.append(planes(np.where(hit, counts[place], 0), 8))
+    return pa.table({"block": asks["block"], "shard": asks["shard"], "levels": pa.array(levels, pa.binary()), "counts": pa.array(exact, pa.binary())})
+
+
+def _combine(shards: int, total: int, distinct: int):
+    def combine(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _Block(*[blocks[c][0].as_py() for c in ("tokens", "lengths", "hashes")], shards)
+        answers = answers.sort_by("shard")
+        counts = np.concatenate([from_planes(c.as_py(), 8) for c in answers["counts"]]).astype(np.int64)
+        exact, levels = np.zeros(len(block.hashes), np.int64), [[], []]
+        for got, c in zip(answers["levels"], answers["counts"]):
+            got, n = np.frombuffer(got.as_py(), np.uint8), len(c.as_py()) // 8
+            levels[0].append(got[:n])
+            levels[1].append(got[n:])
+        word_levels, pair_levels = np.concatenate(levels[0]), np.concatenate(levels[1])
+        if len(blocks) != 1 or len(word_levels) != len(block.hashes) or len(pair_levels) != len(block.pairs):
+            raise ValueError("the answers are not those of this block: its input gave other rows when it was read again")
+        exact[block.word_order] = counts
+        found = np.zeros(len(block.hashes) + len(block.pairs), np.int64)
+        keys = np.concatenate([block.hashes, block.pairs])
+        found[block.word_order] = word_levels
+        found[len(block.hashes) + block.pair_order] = pair_levels
+        order = np.argsort(keys)
+        own = Probed(keys[order], found[order], total)
+        tokens, bounds = block.tokens, block.bounds
+        known = count_of(found[: len(block.hashes)])[tokens]
+        base = np.log10((exact + 0.5) / (total + 0.5 * (distinct + 1)))
+        return pa.table(
+            {
+                "doc_id": pa.concat_arrays([c.flatten() for c in blocks["ids"].chunks]),
+                "n_tokens": np.diff(bounds),
+                "n_known": sums((exact[tokens] > 0).astype(np.int64), bounds),
+                "base_score": sums(base[tokens], bounds),
+                "score": sums(log10_probabilities(own, block.hashes[tokens], bounds[:-1], known), bounds),
+            }
+        )
 
     return combine
 
 
-def probed_scores(blocks: DataFrame, filter_rows: DataFrame, shards: int, train_tokens: int) -> DataFrame:
-    """lm_row, lm: what a broadcast filter would give the texts of ``blocks`` (row, tokens, bounds, hashes)."""
-    asks = blocks.select("row", "tokens", "bounds", "hashes").mapInArrow(_ask(shards), "shard int, row bigint, keys binary")
-    answers = filter_rows.groupBy("shard").cogroup(asks.groupBy("shard")).applyInArrow(_answer, "row bigint, shard int, found binary")
-    return blocks.groupBy("row").cogroup(answers.groupBy("row")).applyInArrow(_combine(shards, train_tokens), "lm_row bigint, lm double")
-
-
-def _score(filter_, head, total: int, distinct: int):
-    kind = pa.struct([("hash", pa.int64()), ("n", pa.int64())])
-    names = ["row", "doc_id", "n_tokens", "known", "base", "score", "rest", "tokens", "bounds", "hashes"]
-
-    def kinds(batch: pa.RecordBatch) -> list[pa.DataType]:
-        return [batch.schema.types[0], pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(kind)]
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, exact = filter_ and filter_.value, head.value
-        unknown = 0.5 / (total + 0.5 * (distinct + 1))
-        base_of = np.log10((exact[1] + 0.5) * (unknown / 0.5))
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for at, to in steps(batch.column(1)):
-                texts = lowered(batch.column(1)[at:to])
-                codes, words, bounds = batch_words(texts)
-                hashes = np.append(word_hashes(words), _END_HASH)
-                tokens, bounds = with_ends(codes, bounds, len(words))
-                # exact counts of frequent words, by hash
-                place = np.minimum(np.searchsorted(exact[0], hashes), max(len(exact[0]) - 1, 0))
-                hit = exact[0][place] == hashes if len(exact[0]) else np.zeros(len(hashes), bool)
-                base = np.where(hit, base_of[place] if len(exact[0]) else 0.0, 0.0)
-                lm = None if own is None else pa.array(_sums_of_logs(own, hashes, tokens, bounds))
-                # the rest of each text's words, for the join
-                text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-                rest = ~hit[tokens]
-                pairs, n = np.unique(text[rest] * len(hashes) + tokens[rest], return_counts=True)
-                cuts = np.searchsorted(pairs // max(len(hashes), 1), np.arange(len(bounds)))
-                signed = hashes.view(np.int64)[pairs % max(len(hashes), 1)]
-                items = pa.StructArray.from_arrays([pa.array(signed), pa.array(n.astype(np.int64))], fields=list(kind))
-                rows = len(bounds) - 1
-                nothing = pa.nulls(rows, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + np.arange(rows)),
-                        batch.column(0)[at:to],
-                        pa.array(np.diff(bounds)),
-                        pa.array(sums(hit[tokens].astype(np.int64), bounds)),
-                        pa.array(sums(base[tokens], bounds)),
-                        pa.nulls(rows, pa.float64()) if lm is None else lm,
-                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), items),
-                        *[nothing] * 3,
-                    ],
-                    names=names,
-                )
-                if own is None:  # what the shards are asked with, as a row of its own
-                    packed = tokens.astype("<u4"), bounds.astype("<u4"), hashes
-                    block = [pa.array([row]), *[pa.nulls(1, t) for t in kinds(batch)], *[pa.array([x.tobytes()], pa.binary()) for x in packed]]
-                    yield pa.RecordBatch.from_arrays(block, names=names)
-                row += rows
-
-    return score
-
-
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1, head_words: int = HEAD, max_bytes: int = MAX_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Texts outside fold ``held_out`` train the model.  NULL and empty texts are one end
-    token; rows with equal ids are scored each by its own text; an empty table gives
-    an empty result.  Words are joined by 64-bit hashes.  Only the id and text columns
-    are read.
+    token; rows with equal ids are scored each by its own text, and equal texts get
+    equal scores; an empty table gives an empty result.  Words are told apart by 64-bit
+    hashes.  Only the id and text columns are read.
     """
-    return finished(lambda: _scores(docs, id_col, text_col, held_out, head_words, max_bytes), "lm")
+    return finished(lambda: _scores(docs, id_col, text_col, held_out), "lm")
 
 
-def _scores(docs: DataFrame, id_col: str, text_col: str, held_out: int, head_words: int, max_bytes: int) -> DataFrame:
-    spark = docs.sparkSession
+def _scores(docs: DataFrame, id_col: str, text_col: str, held_out: int) -> DataFrame:
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     train = rows.filter(fold("doc_id") != held_out).select("text")
-    counted = materialise(word_counts(train), "words")
-    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    shards = shard_count(total)
+    shards = shard_count(train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0])
     held = materialise(filter_shards(train, shards), "filter")
-    small = held.agg(F.coalesce(F.sum(F.length("bits")), F.lit(0))).first()[0] <= max_bytes
-    top = counted.orderBy(F.desc("n"), "word").limit(head_words).toPandas()  # head_words rows at most
-    hashes = word_hashes(pa.array(top["word"], pa.string()))
-    hashes[(top["word"] == END).to_numpy(bool)] = _END_HASH
-    order = np.argsort(hashes)
-    head = (hashes[order], top["n"].to_numpy(np.int64)[order])
-    shared = spark.sparkContext.broadcast(collected(held, shards, total)) if small else None, spark.sparkContext.broadcast(head)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"row bigint, doc_id {id_type}, n_tokens bigint, known bigint, base double, score double, rest array<struct<hash: bigint, n: bigint>>"
-    schema += ", tokens binary, bounds binary, hashes binary"
-    written = materialise(rows.mapInArrow(_score(*shared, total, distinct), schema), "scores")
-    scored = written.filter("tokens is null").drop("tokens", "bounds", "hashes")
-    if not small:
-        blocks = written.filter("tokens is not null").select("row", "tokens", "bounds", "hashes")
-        lm = materialise(probed_scores(blocks, held, shards, total), "lm-scores")
-        scored = scored.drop("score").join(lm.withColumnRenamed("lm", "score"), F.col("row") == F.col("lm_row"))
-    vocabulary = counted.mapInArrow(_hashed, "hash bigint, count bigint")
-    tail = scored.select("row", F.explode("rest").alias("r")).select("row", "r.hash", F.col("r.n").alias("times")).join(vocabulary, "hash", "left")
-    c = F.coalesce("count", F.lit(0))
-    tail = tail.groupBy(F.col("row").alias("tail_row")).agg(
-        F.sum(F.col("times") * F.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))).alias("tail_base"),
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("tail_known"),
-    )
-    joined = scored.select("row", "doc_id", "n_tokens", "known", "base", "score").join(tail, F.col("row") == F.col("tail_row"), "left")
-    return joined.select(
-        "doc_id",
-        (fold("doc_id") == held_out).alias("held_out"),
-        "n_tokens",
-        (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        "score",
-    )
-
-
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = word_hashes(batch.column(0))
-        keys[pc.equal(batch.column(0), END).to_numpy(zero_copy_only=False)] = _END_HASH
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column(1)], names=["hash", "count"])
+    total, distinct = held.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+    kind = docs.schema[id_col].dataType.simpleString()
+    # one shuffle of blocks serves both the questions and the scores
+    blocks = rows.mapInArrow(_blocks, f"block bigint, ids array<{kind}>, tokens binary, lengths binary, hashes binary").repartition("block")
+    asks = blocks.mapInArrow(_ask(shards), "shard int, block bigint, words binary, pairs binary")
+    answers = held.select("shard", "bits", "words", "word_n").groupBy("shard").cogroup(asks.groupBy("shard")).applyInArrow(_answer, "block bigint, shard int, levels binary, counts binary")
+    schema = f"doc_id {kind}, n_tokens bigint, n_known bigint, base_score double, score double"
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_combine(shards, total, distinct), schema)
+    return scored.select("doc_id", (fold("doc_id") == held_out).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")

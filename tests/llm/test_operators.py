@@ -553,7 +553,7 @@ def test_components_of_a_chain(spark):
 
 
 def test_base_scores(spark, texts):
-    rows = lm_bloom.lm_scores(table(spark, SF, "documents"), head_words=50).collect()
+    rows = lm_bloom.lm_scores(table(spark, SF, "documents")).collect()
     tokens = {k: WORDS.findall(t.translate(LOWER)) + [""] for k, t in texts.items()}
     counts = Counter(w for k, own in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1 for w in own)
     total, distinct = sum(counts.values()), len(counts)
@@ -571,18 +571,37 @@ def test_base_scores(spark, texts):
 def test_filter_counts(spark):
     """Every count read back is at least the quantised one, and nearly always equal to it."""
     texts = spark.createDataFrame([(" ".join(f"w{k % (j + 1)}" for k in range(50)),) for j in range(40)], "text string")
-    model = lm_bloom.build_filter(texts, 40 * 51)
-    rows = [r["text"] for r in texts.collect()]
-    grams = Counter()
-    for t in rows:
-        grams.update(lm_bloom._gram_hashes(pa.array([t])).tolist())
-    keys = np.array(list(grams), np.uint64)
-    expected = lm_bloom.quantise(np.array(list(grams.values())))
-    got = model.levels(keys)
-    assert (got >= expected).all() and (got == expected).mean() > 0.9
-    assert 0 < model.density() < 0.5
-    small = lm_bloom.build_filter(texts, 40 * 51, max_bytes=64)
-    assert small.bits.nbytes <= 64
+    held = {r["shard"]: r for r in lm_bloom.filter_shards(texts, 3).collect()}
+    words, pairs = Counter(), Counter()
+    for r in texts.collect():
+        grams = lm_bloom._gram_hashes(pa.array([r["text"]]))
+        words.update(grams[: len(grams) // 2].tolist())
+        pairs.update(grams[len(grams) // 2 :].tolist())
+    assert sum(r["total"] for r in held.values()) == sum(words.values()) == 40 * 51
+    assert sum(r["distinct"] for r in held.values()) == len(words)
+    same = []
+    for grams, name in ((words, lambda k: k), (pairs, lm_bloom.in_shard)):
+        keys = np.array(list(grams), np.uint64)
+        expected = lm_bloom.quantise(np.array(list(grams.values())))
+        shard = lm_bloom.shard_of(keys, 3)
+        for k, r in held.items():
+            model = lm_bloom.Filter(np.frombuffer(r["bits"], np.uint8))
+            got = model.levels(name(keys[shard == k]))
+            assert (got >= expected[shard == k]).all() and 0 < model.density() < 0.5
+            same += (got == expected[shard == k]).tolist()
+    assert np.mean(same) > 0.9
+
+
+@pytest.mark.parametrize("width", [1, 4, 5, 8])
+def test_planes_of_values(width):
+    values = np.random.default_rng(width).integers(0, 1 << (8 * width - 1), 1000).astype(np.uint64)
+    assert (lm_bloom.from_planes(lm_bloom.planes(values, width), width) == values).all()
+
+
+def test_equal_texts_get_equal_scores(spark):
+    rows = [(k, "the same text in many rows " * 9) if k % 2 else (k, f"row {k} " + "x y z " * (k % 7)) for k in range(200)]
+    got = lm_bloom.lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("doc_id % 2 = 1").collect()
+    assert len(got) == 100 and len({(r["score"], r["base_score"]) for r in got}) == 1
 
 
 def test_language_model_awkward(awkward, empty):
@@ -596,7 +615,7 @@ def test_language_model_awkward(awkward, empty):
 
 @pytest.mark.parametrize("copies", [1, 4, 16])
 def test_score_error_does_not_grow_with_the_corpus(spark, monkeypatch, copies):
-    """Against exact n-gram counts, with a filter of several shards that is far beyond what may be broadcast."""
+    """Against exact n-gram counts, with a filter of several shards and texts in several blocks."""
     monkeypatch.setattr(lm_bloom, "SHARD_GRAMS", 5_000)
     rng = np.random.default_rng(copies)
     docs = [(k, " ".join(f"w{j}" for j in rng.zipf(1.3, 300) % 5000)) for k in range(60 * copies)]
@@ -612,9 +631,9 @@ def test_score_error_does_not_grow_with_the_corpus(spark, monkeypatch, copies):
         def levels(self, keys):
             return np.where(n := np.array([grams[k] for k in keys.tolist()]), lm_bloom.quantise(n), 0)
 
-    asked = {r["doc_id"]: r for r in lm_bloom.lm_scores(frame, max_bytes=1024).collect()}
-    held = {r["doc_id"]: r for r in lm_bloom.lm_scores(frame).collect()}
-    assert asked.keys() == held.keys() == {k for k, _ in docs}
+    monkeypatch.setattr(lm_bloom, "BLOCK_BYTES", 20_000)
+    asked = {r["doc_id"]: r for r in lm_bloom.lm_scores(frame).collect()}
+    assert asked.keys() == {k for k, _ in docs}
     errors = []
     for k, t in docs:
         codes, words, bounds = lm_bloom.batch_words(lm_bloom.lowered(pa.array([t])))
@@ -623,5 +642,4 @@ def test_score_error_does_not_grow_with_the_corpus(spark, monkeypatch, copies):
         counts = lm_bloom.count_of(Exact().levels(hashes))
         exact = lm_bloom.log10_probabilities(Exact(), hashes[tokens], bounds[:-1], counts[tokens]).sum()
         errors.append(abs(asked[k]["score"] - exact) / len(tokens))
-        assert asked[k]["score"] == pytest.approx(held[k]["score"])
     assert np.mean(errors) < 0.02
