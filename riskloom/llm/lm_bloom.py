@@ -100,9 +100,14 @@ class Filter:
     bits: np.ndarray  # uint8
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for slot in slots(keys, np.full(len(keys), level), 8 * len(self.bits)):
-            found &= (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+        found = np.zeros(len(keys), bool)
+        left = np.arange(len(keys))
+        base, step = _bases(keys, np.full(1, level, np.uint64))
+        size = np.uint64(8 * len(self.bits))
+        for k in range(HASHES):
+            slot = (base[left] + np.uint64(k) * step[left]) % size
+            left = left[(self.bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        found[left] = True
         return found
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
@@ -122,10 +127,14 @@ class Filter:
         return float(np.unpackbits(self.bits).mean()) if len(self.bits) else 0.0
 
 
+def _bases(keys: np.ndarray, levels: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    base = mix(keys + levels * np.uint64(0xA24BAED4963EE407))
+    return base, mix(base ^ np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
+
+
 def slots(keys: np.ndarray, levels: np.ndarray, sizes: np.ndarray | int) -> Iterator[np.ndarray]:
     """The bit of a shard that each of ``HASHES`` functions gives to (key, level)."""
-    base = mix(keys + levels.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-    step = mix(base ^ np.uint64(0x9FB21C651E98DF25)) | np.uint64(1)
+    base, step = _bases(keys, levels.astype(np.uint64))
     sizes = np.asarray(sizes, np.uint64)
     for k in range(HASHES):
         yield ((base + np.uint64(k) * step) % sizes).astype(np.int64)
@@ -151,6 +160,11 @@ def from_planes(cell: bytes, width: int) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def by_shard(pairs: np.ndarray, shards: int) -> np.ndarray:
+    """Shard number above ``in_shard``: in order of these, pairs are in order of shards."""
+    return (shard_of(pairs, shards).astype(np.uint64) << _PAIR_BITS) | in_shard(pairs)
+
+
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct words and, last, of the end; the place there of each token; bounds of the texts."""
     codes, words, bounds = batch_words(lowered(texts))
@@ -196,12 +210,10 @@ def _send(shards: int):
             shard = shard_of(keys, shards)
             order = np.argsort(shard, kind="stable")
             word_cells = _cells(shards, shard[order], (keys[order], 8), (n[order], 6))
-            keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+            keys, n = np.unique(by_shard(np.concatenate(pairs), shards), return_counts=True)
             words.clear()
             pairs.clear()
-            shard, keys = shard_of(keys, shards), in_shard(keys)
-            order = np.lexsort((keys, shard))
-            pair_cells = _cells(shards, shard[order], (keys[order], 5), (n[order], 4))
+            pair_cells = _cells(shards, (keys >> _PAIR_BITS).astype(np.int64), (in_shard(keys), 5), (n, 4))
             rows = [(k, *w, *p) for k, (w, p) in enumerate(zip(word_cells, pair_cells)) if w[0] or p[0]]
             kinds = [pa.int32()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
@@ -252,11 +264,16 @@ def filter_shards(texts: DataFrame, shards: int) -> DataFrame:
 
 def log10_probabilities(own: Probed, keys: np.ndarray, starts: np.ndarray, known: np.ndarray) -> np.ndarray:
     """log10 P(token | token before) of each token; ``known`` are the counts of the tokens themselves."""
-    context = np.concatenate([[0.0], known[:-1]])
-    context[starts] = own_starts(own)
     pairs, place = np.unique(_pairs(keys, starts), return_inverse=True)
-    both = np.minimum(count_of(own.levels(pairs))[place], np.minimum(context, known))
-    word = (known + 0.5) / (own.train_tokens + 1.0)
+    return log10_smoothed(count_of(own.levels(pairs))[place], starts, known, own_starts(own), own.train_tokens)
+
+
+def log10_smoothed(both: np.ndarray, starts: np.ndarray, known: np.ndarray, start: float, train_tokens: int) -> np.ndarray:
+    """The same from the counts of each token's pair (``both``) and of the starts."""
+    context = np.concatenate([[0.0], known[:-1]])
+    context[starts] = start
+    both = np.minimum(both, np.minimum(context, known))
+    word = (known + 0.5) / (train_tokens + 1.0)
     return np.log10((both + PRIOR * word) / (context + PRIOR))
 
 
@@ -285,10 +302,10 @@ class _Block:
         self.hashes = np.frombuffer(hashes, "<u8")
         self.tokens = from_planes(tokens, 4).astype(np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(from_planes(lengths, 4).astype(np.int64))])
-        self.pairs = np.unique(_pairs(self.hashes[self.tokens], self.bounds[:-1]))
-        self.word_shard, self.pair_shard = shard_of(self.hashes, shards), shard_of(self.pairs, shards)
+        # distinct pairs by shard, and which of them each token ends
+        self.pairs, self.place = np.unique(by_shard(_pairs(self.hashes[self.tokens], self.bounds[:-1]), shards), return_inverse=True)
+        self.word_shard = shard_of(self.hashes, shards)
         self.word_order = np.argsort(self.word_shard, kind="stable")
-        self.pair_order = np.lexsort((in_shard(self.pairs), self.pair_shard))
 
 
 def _ask(shards: int):
@@ -297,7 +314,7 @@ def _ask(shards: int):
             for number, *packed in zip(*[batch.column(batch.schema.get_field_index(c)) for c in ("block", "tokens", "lengths", "hashes")]):
                 block = _Block(*[p.as_py() for p in packed], shards)
                 words = _cells(shards, block.word_shard[block.word_order], (block.hashes[block.word_order], 8))
-                pairs = _cells(shards, block.pair_shard[block.pair_order], (in_shard(block.pairs[block.pair_order]), 5))
+                pairs = _cells(shards, (block.pairs >> _PAIR_BITS).astype(np.int64), (in_shard(block.pairs), 5))
                 rows = [(k, number.as_py(), *w, *p) for k, (w, p) in enumerate(zip(words, pairs)) if w[0] or p[0]]
                 kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["shard", "block", "words", "pairs"])
@@ -311,14 +328,17 @@ def _answer(shard: pa.Table, asks: pa.Table) -> pa.Table:
     pairs = [from_planes(c.as_py(), 5) for c in asks["pairs"]]
     filter_ = Filter(np.frombuffer(shard["bits"][0].as_py() if len(shard) else bytes(8), np.uint8))
     known = np.frombuffer(shard["words"][0].as_py() if len(shard) else b"", "<u8")
-    counts = np.append(from_planes(shard["word_n"][0].as_py() if len(shard) else b"", 8), 0)
-    levels, exact = [], []
-    for w, p in zip(words, pairs):
-        levels.append(filter_.levels(np.concatenate([w, p])).astype(np.uint8).tobytes())
-        place = np.searchsorted(known, w)
-        hit = np.append(known, 0)[place] == w
-        hit &= place < len(known)
-        exact.append(planes(np.where(hit, counts[place], 0), 8))
+    counts = from_planes(shard["word_n"][0].as_py() if len(shard) else b"", 8)
+    # many blocks ask for the same n-grams: each is probed once
+    keys, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *words, *pairs]), return_inverse=True)
+    level_of = filter_.levels(keys).astype(np.uint8)
+    _, here, there = np.intersect1d(keys, known, assume_unique=True, return_indices=True)
+    count_of_key = np.zeros(len(keys), np.uint64)
+    count_of_key[here] = counts[there]
+    cuts = np.cumsum([len(x) for x in words + pairs])
+    parts = np.split(place, cuts[:-1])
+    levels = [np.concatenate([level_of[w], level_of[p]]).tobytes() for w, p in zip(parts[: len(words)], parts[len(words) :])]
+    exact = [planes(count_of_key[w], 8) for w in parts[: len(words)]]
     return pa.table({"block": asks["block"], "shard": asks["shard"], "levels": pa.array(levels, pa.binary()), "counts": pa.array(exact, pa.binary())})
 
 
@@ -327,23 +347,20 @@ def _combine(shards: int, total: int, distinct: int):
         block = _Block(*[blocks[c][0].as_py() for c in ("tokens", "lengths", "hashes")], shards)
         answers = answers.sort_by("shard")
         counts = np.concatenate([from_planes(c.as_py(), 8) for c in answers["counts"]]).astype(np.int64)
-        exact, levels = np.zeros(len(block.hashes), np.int64), [[], []]
+        of_words, of_pairs = [], []
         for got, c in zip(answers["levels"], answers["counts"]):
             got, n = np.frombuffer(got.as_py(), np.uint8), len(c.as_py()) // 8
-            levels[0].append(got[:n])
-            levels[1].append(got[n:])
-        word_levels, pair_levels = np.concatenate(levels[0]), np.concatenate(levels[1])
-        if len(blocks) != 1 or len(word_levels) != len(block.hashes) or len(pair_levels) != len(block.pairs):
+            of_words.append(got[:n])
+            of_pairs.append(got[n:])
+        of_words, of_pairs = np.concatenate(of_words).astype(np.int64), np.concatenate(of_pairs).astype(np.int64)
+        if len(blocks) != 1 or len(of_words) != len(block.hashes) or len(of_pairs) != len(block.pairs):
             raise ValueError("the answers are not those of this block: its input gave other rows when it was read again")
-        exact[block.word_order] = counts
-        found = np.zeros(len(block.hashes) + len(block.pairs), np.int64)
-        keys = np.concatenate([block.hashes, block.pairs])
-        found[block.word_order] = word_levels
-        found[len(block.hashes) + block.pair_order] = pair_levels
-        order = np.argsort(keys)
-        own = Probed(keys[order], found[order], total)
+        exact, levels = np.zeros((2, len(block.hashes)), np.int64)
+        exact[block.word_order], levels[block.word_order] = counts, of_words
         tokens, bounds = block.tokens, block.bounds
-        known = count_of(found[: len(block.hashes)])[tokens]
+        known = count_of(levels)
+        start = known[block.hashes == _END_HASH][0]  # as many starts as ends
+        scores = log10_smoothed(count_of(of_pairs)[block.place], bounds[:-1], known[tokens], start, total)
         base = np.log10((exact + 0.5) / (total + 0.5 * (distinct + 1)))
         return pa.table(
             {
@@ -351,7 +368,7 @@ def _combine(shards: int, total: int, distinct: int):
                 "n_tokens": np.diff(bounds),
                 "n_known": sums((exact[tokens] > 0).astype(np.int64), bounds),
                 "base_score": sums(base[tokens], bounds),
-                "score": sums(log10_probabilities(own, block.hashes[tokens], bounds[:-1], known), bounds),
+                "score": sums(scores, bounds),
             }
         )
 
