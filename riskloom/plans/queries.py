@@ -759,6 +759,17 @@ def q_fs_gbt_splits(spark, sf):
     return learners.fs_gbt_splits(_train(spark, sf), PREDICTORS, "flagged")
 
 
+@query
+def q_fs_boosted(spark, sf):
+    """Second-order boosting: gain, split count and cover."""
+    return learners.fs_boosted(_train(spark, sf), PREDICTORS, "flagged", "record_id")
+
+
+@query
+def q_fs_extra_trees(spark, sf):
+    return learners.fs_extra_trees(_train(spark, sf), PREDICTORS, "flagged", "record_id")
+
+
 @query
 def q_fs_permutation(spark, sf):
     return learners.fs_permutation(_train(spark, sf), PREDICTORS, "flagged", "record_id")
