@@ -92,7 +92,7 @@ ORACLES: dict[str, str] = {}
 
 
 def put(name: str, select: str, *ctes: str) -> None:
-    ORACLES[name] = FIXTURES + "".join(f", {c}" for c in ctes) + "\n" + select
+    ORACLES[name] = FIXTURES.replace("WITH", "WITH RECURSIVE", 1) + "".join(f", {c}" for c in ctes) + "\n" + select
 
 
 def rnd(x: str, dp: int = 6) -> str:
@@ -283,6 +283,25 @@ STRENGTH = """CASE WHEN iv > 0.5 THEN 'Suspicious' WHEN iv > 0.3 THEN 'Strong' W
 put("woe_table", f'SELECT "column", CAST(bin AS BIGINT) AS bin, events, non_events, {rnd("w")} AS woe, {rnd("c")} AS iv_contrib FROM woes', *WOE)
 put("iv_numeric", "SELECT feature, iv FROM ivs", *WOE)
 put("iv_ranking", f"SELECT feature, iv, {STRENGTH} FROM ivs", *WOE)
+_places = ", ".join(f"({k}, '{c}')" for k, c in enumerate(CORR_COLUMNS, start=1))
+put(
+    "fs_corr_prune",
+    """SELECT p.c AS feature, CASE WHEN gone THEN CAST(0.0 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS score, NOT gone AS selected
+    FROM (SELECT p.*, list_contains(taken, i) OR reach IS NOT NULL AS gone FROM reached p, (SELECT taken FROM walk ORDER BY pos DESC LIMIT 1)) p""",
+    *woe_ctes(CORR_COLUMNS),
+    f"places AS (SELECT * FROM (VALUES {_places}) t(i, c))",
+    "ranked AS (SELECT i, c, iv FROM places JOIN ivs ON feature = c)",
+    "pairs AS (" + union([
+        f"SELECT {i} AS i, {j} AS j, {corr(a, b)} AS r FROM risk_signal"
+        for i, a in enumerate(CORR_COLUMNS, start=1) for j, b in enumerate(CORR_COLUMNS, start=1) if i < j]) + ")",
+    "linked AS (SELECT p.i, p.j, b.iv > a.iv AS loses FROM pairs p JOIN ranked a ON a.i = p.i JOIN ranked b ON b.i = p.j WHERE ABS(r) > 0.95)",
+    "reached AS (SELECT q.i, q.c, MIN(j) FILTER (WHERE loses) AS reach FROM ranked q LEFT JOIN linked l ON l.i = q.i GROUP BY q.i, q.c)",
+    """claims AS (SELECT q.i, COALESCE(LIST(l.j) FILTER (WHERE l.j < COALESCE(q.reach, 1000000)), []) AS js
+        FROM reached q LEFT JOIN linked l ON l.i = q.i GROUP BY q.i)""",
+    """walk AS (SELECT 0 AS pos, CAST([] AS INTEGER[]) AS taken UNION ALL
+        SELECT pos + 1, CASE WHEN list_contains(taken, pos + 1) THEN taken ELSE list_concat(taken, js) END
+        FROM walk JOIN claims ON claims.i = pos + 1)""",
+)
 put("leakage_flags", "SELECT feature, iv FROM ivs WHERE iv > 0.8", *WOE)
 QUALITY_COLUMNS = ["record_id", "flagged", "li_qty_sum", "ord_const", "ord_price_gappy", "cust_acctbal", "drv_high_card"]
 put("quality_score", """
@@ -347,6 +366,39 @@ MOMENTS = "moments AS (" + union([
         CORR(COALESCE({c}, 0), flagged) AS r FROM risk_signal""" for c in PREDICTORS]) + ")"
 put("fs_anova_f", f"""
 SELECT feature, {rnd("(n1 * POWER(m1 - m, 2) + n0 * POWER(m0 - m, 2)) / ((n1 * v1 + n0 * v0) / (n - 2))", 4)} AS score FROM moments""", MOMENTS)
+# psi by its recurrence up to 8 more, then the asymptotic series
+def psi(n: str) -> str:
+    x = f"(CAST({n} AS DOUBLE) + 8)"
+    series = f"LN({x}) - 0.5 / {x} - 1 / (12 * {x} * {x}) + 1 / (120 * POWER({x}, 4)) - 1 / (252 * POWER({x}, 6))"
+    return f"({series} - " + " - ".join(f"1.0 / (CAST({n} AS DOUBLE) + {j})" for j in range(8)) + ")"
+
+
+put(
+    "fs_mutual_info_knn",
+    f"""SELECT feature, {rnd("GREATEST(0, " + psi("n_all") + " + m)")} AS mi
+    FROM (SELECT feature, SUM(n) AS n_all, SUM(n * ({psi("k")} - {psi("size")} - {psi("inside")})) / SUM(n) AS m FROM counted GROUP BY feature)""",
+    "cells AS (" + union([f"SELECT '{c}' AS feature, flagged AS y, COALESCE(CAST({c} AS DOUBLE), 0) AS v FROM risk_signal WHERE sample_group = 'Train'" for c in PREDICTORS]) + ")",
+    "sized AS (SELECT *, COUNT(*) OVER (PARTITION BY feature, y) AS size FROM cells)",
+    """around AS (SELECT DISTINCT feature, y, v, size, LEAST(5, size - 1) AS k, near FROM (
+        SELECT feature, y, v, size, COUNT(*) OVER (PARTITION BY feature, y, v) AS n, ROW_NUMBER() OVER (PARTITION BY feature, y, v ORDER BY v) AS copy,
+               LIST(v) OVER (PARTITION BY feature, y ORDER BY v ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near FROM sized)
+        WHERE copy = 1 OR copy = n)""",
+    # the first and the last copy of a value see its neighbours below and above; both see enough copies of itself
+    """kth AS (SELECT feature, y, v, size, k, list_sort(list_transform(list_concat(
+          list_filter(FIRST(near ORDER BY len(list_filter(near, lambda x: x < v)) DESC), lambda x: x < v),
+          list_filter(FIRST(near ORDER BY len(list_filter(near, lambda x: x > v)) DESC), lambda x: x > v)), lambda x: {'d': ABS(x - v), 'x': x})) AS others
+        FROM around GROUP BY feature, y, v, size, k)""",
+    "copies AS (SELECT feature, y, v, COUNT(*) AS n FROM cells GROUP BY feature, y, v)",
+    """ends AS (SELECT kth.*, n, CASE WHEN n - 1 >= k THEN NULL ELSE others[k - n + 1] END AS far FROM kth JOIN copies USING (feature, y, v) WHERE k > 0)""",
+    """bounds AS (SELECT feature, y, v, size, k, n, far IS NULL AS here,
+          CASE WHEN far IS NULL THEN v WHEN far.x < v THEN far.x ELSE v - far.d END AS low,
+          CASE WHEN far IS NULL THEN v WHEN far.x > v THEN far.x ELSE v + far.d END AS high FROM ends)""",
+    "rows_at AS (SELECT feature, v, SUM(n) AS n FROM copies GROUP BY feature, v)",
+    """counted AS (SELECT b.feature, b.y, b.v, b.size, b.k, b.n, CASE WHEN b.here THEN MAX(o.n) ELSE SUM(r.n) END AS inside
+        FROM bounds b JOIN rows_at o ON o.feature = b.feature AND o.v = b.v
+        LEFT JOIN rows_at r ON r.feature = b.feature AND r.v > b.low AND r.v < b.high AND NOT b.here
+        GROUP BY b.feature, b.y, b.v, b.size, b.k, b.n, b.here)""",
+)
 put("fs_point_biserial", f"SELECT feature, {rnd('ABS(r)')} AS score, ABS(r) > 0.05 AS selected FROM moments", MOMENTS)
 put("fs_mutual_info", f"""
 SELECT "column" AS feature, {rnd("SUM(CASE WHEN p > 0 THEN p * LN(p / (pb * py)) ELSE 0 END)")} AS mi

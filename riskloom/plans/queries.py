@@ -14,6 +14,7 @@ from riskloom.operators import (
     leaderboard as board,
     learners,
     metrics,
+    neighbours,
     profile,
     quality,
     sampling,
@@ -759,6 +760,11 @@ def q_fs_gbt_splits(spark, sf):
     return learners.fs_gbt_splits(_train(spark, sf), PREDICTORS, "flagged")
 
 
+@query
+def q_fs_mutual_info_knn(spark, sf):
+    return neighbours.mutual_information_knn(_train(spark, sf), PREDICTORS, "flagged")
+
+
 @query
 def q_fs_boosted(spark, sf):
     """Second-order boosting: gain, split count and cover."""
