@@ -99,6 +99,20 @@ def test_marginals_by_enumeration():
     assert np.allclose(pairs, expected)
 
 
+@pytest.mark.parametrize("width", [1, 3, 64])
+def test_marginals_do_not_depend_on_blocks(width):
+    """Texts cut into blocks have the marginals and expected moves of the whole chains."""
+    rng = np.random.default_rng(width)
+    sizes = np.array([300, 1, 64, 65, 0, 7])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    values, moves = rng.normal(size=bounds[-1]) * 2, rng.normal(size=(2, 2)) * 3
+    rows, lengths, cells, first = toxicity.in_blocks(values, bounds, width)
+    p, expected = toxicity.marginals(rows, lengths, moves, first)
+    whole, of_whole, own, _ = toxicity.in_blocks(values, bounds, 300)
+    q, pairs = toxicity.marginals(whole, of_whole, moves)
+    assert np.allclose(p.ravel()[cells], q.ravel()[own]) and np.allclose(expected, pairs)
+
+
 def test_toxic_scores_hold_out(spark):
     docs, marks = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     rows = toxicity.score_documents(docs, marks).join(marks, "doc_id").collect()
@@ -239,6 +253,44 @@ def test_quality_counts_and_gap(spark):
     assert sum(kept == bool(q) for kept, q in judged) >= 0.95 * len(judged)
 
 
+def test_trusted_documents_are_scored_without_themselves():
+    """Taking a text out by ``without_own`` equals counting the trusted texts again without it."""
+    draw = np.random.default_rng(3)
+    lists = [draw.integers(0, 30, n) for n in (5, 1, 40, 12)]
+    grams, text = np.concatenate(lists), np.repeat(np.arange(4), [len(x) for x in lists])
+    good = np.array([True, False, True, True])
+    counts = np.zeros((quality_llr.BUCKETS, 2))
+    counts[:30, 1] = 100
+    for x, g in zip(lists, good):
+        counts[:, 0] += g * np.bincount(x, minlength=quality_llr.BUCKETS)
+    got = quality_llr.ratios_of(counts)[grams] + quality_llr.without_own(counts, grams, text, good)
+    for k, x in enumerate(lists):
+        left = counts.copy()
+        left[:, 0] -= good[k] * np.bincount(x, minlength=quality_llr.BUCKETS)
+        assert got[text == k] == pytest.approx(quality_llr.ratios_of(left)[x])
+
+
+def test_withheld_good_documents_are_kept(spark):
+    """Labels of one fold are withheld; their good documents are kept about as often as the fitted ones."""
+    docs, marks = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    kept = {r["doc_id"]: r["kept"] for r in quality_llr.quality(docs, marks.filter("pmod(crc32(cast(doc_id as string)), 5) <> 0")).filter("not base_failed").collect()}
+    share = {}
+    for held in (True, False):
+        own = [kept[r["doc_id"]] for r in marks.filter("quality = 1").collect() if r["doc_id"] in kept and (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) == held]
+        share[held] = sum(own) / len(own)
+    assert share[True] >= share[False] - 0.05
+
+
+def test_one_distribution_is_not_split(spark):
+    """Labels without meaning: fresh texts are not rejected beside kept good ones."""
+    draw = np.random.default_rng(9)
+    texts = [" ".join(f"w{k}" for k in draw.integers(0, 400, 60)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id bigint, quality int")
+    kept = {r["doc_id"]: r["kept"] for r in quality_llr.quality(docs, marks).collect()}
+    assert np.mean([kept[k] for k in range(200, 300)]) > 0.8
+
+
 def test_log_ratio_by_hand(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "a c c")], "doc_id bigint, text string")
     ratios = quality_llr.log_ratios(docs, docs.select("doc_id").limit(1))
