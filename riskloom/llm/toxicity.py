@@ -33,8 +33,10 @@ from riskloom.sources.scratch import working_table
 # Labelled documents of each class that the model is fitted on.
 SAMPLE = 4_000
 # Blocks of each kind (with and without a toxic token) that the chain is fitted on.
-BLOCKS = 2_500
+BLOCKS = 4_000
+# Features that label tokens, the most frequent in toxic documents first.
 LEXICON = 2_000
+# Tokens of a row that is worked on at once; messages go on over the ends of rows.
 BLOCK = 64
 BITS = 18
 _MASK = (1 << BITS) - 1
@@ -87,43 +89,97 @@ def slots(token: str) -> list[int]:
     return own + [zlib.crc32(whole, _BEFORE) & _MASK, zlib.crc32(whole, _AFTER) & _MASK]
 
 
-def marginals(emission: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _entering(step: np.ndarray, first: np.ndarray, backwards: bool) -> np.ndarray:
+    """The odds that enter each block of a text, from what each block does to the odds that enter it.
+
+    ``step`` (blocks x 2 x 2): odds x leave as (a x + b) / (c x + d); ``first``: the
+    first block of each text.  Texts advance together, one block at a time.
+    """
+    n = len(step)
+    out = np.full(n, np.nan)
+    ends = np.append(first[1:], n)
+    size = ends - first
+    order = np.argsort(-size, kind="stable")
+    now = np.full(len(first), 0.0 if not backwards else 1.0)
+    for k in range(int(size.max(initial=0))):
+        order = order[size[order] > k]
+        at = ends[order] - 1 - k if backwards else first[order] + k
+        out[at] = now[order]
+        (a, b), (c, d) = step[at].transpose(1, 2, 0)
+        now[order] = (a * now[order] + b) / (c * now[order] + d)
+    return out
+
+
+def marginals(emission: np.ndarray, lengths: np.ndarray, moves: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """P(toxic) of each token of each row, and the expected moves (2 x 2) over all rows.
 
     ``emission`` is the toxic label's score against the clean one's, rows padded on
     the right; ``moves`` are transition scores.  Forward and backward messages are
-    kept as the odds toxic : clean.
+    kept as the odds toxic : clean.  With ``first``, rows are the blocks of longer
+    chains that begin there: what a block does to a message is composed first,
+    messages are carried from block to block, and so reach over the whole chain.
     """
     rows, width = emission.shape
     factor = np.exp(np.clip(emission, -30, 30))
     t = np.exp(moves)
+    first = np.arange(rows) if first is None else first
+    begins = np.zeros(rows, bool)
+    begins[first] = True
+    used = np.arange(width)[:, None] < lengths
+    entry, exit_ = np.zeros(rows), np.ones(rows)
+    if not begins.all():
+        # odds in front of a block as 2 x 2 maps; a token at the start of a chain has no move before it
+        ahead = np.broadcast_to(np.eye(2), (rows, 2, 2)).copy()
+        behind = ahead.copy()
+        one = np.zeros((rows, 2, 2))
+        for k in range(width):
+            f = factor[:, k]
+            one[:, 0, 0], one[:, 0, 1], one[:, 1, 0], one[:, 1, 1] = f * t[1, 1], f * t[0, 1], t[1, 0], t[0, 0]
+            if k == 0:
+                one[begins] = 0.0
+                one[begins, 0, 1], one[begins, 1, 1] = f[begins], 1.0
+            ahead = np.where(used[k][:, None, None], one @ ahead, ahead)
+            ahead /= ahead.max(axis=(1, 2), keepdims=True)
+        for k in range(width - 1, -1, -1):
+            f = factor[:, k]
+            one[:, 0, 0], one[:, 0, 1], one[:, 1, 0], one[:, 1, 1] = t[1, 1] * f, t[1, 0], t[0, 1] * f, t[0, 0]
+            behind = np.where(used[k][:, None, None], one @ behind, behind)
+            behind /= behind.max(axis=(1, 2), keepdims=True)
+        entry, exit_ = _entering(ahead, first, False), _entering(behind, first, True)
     forward = np.empty((width, rows))
     backward = np.ones((width, rows))
-    odds = factor[:, 0]
+    with_move = factor[:, 0] * (t[0, 1] + entry * t[1, 1]) / (t[0, 0] + entry * t[1, 0])
+    odds = np.where(begins, factor[:, 0], with_move)
     forward[0] = odds
     for k in range(1, width):
         odds = factor[:, k] * (t[0, 1] + odds * t[1, 1]) / (t[0, 0] + odds * t[1, 0])
         forward[k] = odds
-    back = np.ones(rows)
+    back = exit_
+    backward[width - 1] = back
     for k in range(width - 2, -1, -1):
         x = factor[:, k + 1] * back
-        back = np.where(k + 1 < lengths, (t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x), 1.0)
+        back = np.where(k + 1 < lengths, (t[1, 0] + t[1, 1] * x) / (t[0, 0] + t[0, 1] * x), back)
         backward[k] = back
     odds = (forward * backward).T
     p = odds / (1 + odds)
     expected = np.zeros((2, 2))
-    if width > 1:
-        a = forward[:-1].T
-        x = (factor[:, 1:].T * backward[1:]).T
-        inside = np.arange(1, width)[None, :] < lengths[:, None]
+
+    def add(a: np.ndarray, x: np.ndarray) -> None:
         pair = [np.full_like(a, t[0, 0]), t[0, 1] * x, a * t[1, 0], a * t[1, 1] * x]
         whole = sum(pair)
-        expected = np.array([(q / whole)[inside].sum() for q in pair]).reshape(2, 2)
+        expected[:] += np.array([(q / whole).sum() for q in pair]).reshape(2, 2)
+
+    if width > 1:
+        inside = np.arange(1, width)[None, :] < lengths[:, None]
+        add(forward[:-1].T[inside], (factor[:, 1:].T * backward[1:]).T[inside])
+    joined = np.flatnonzero(~begins)  # moves between blocks
+    if len(joined):
+        add(entry[joined], factor[joined, 0] * backward[0, joined])
     return p, expected
 
 
-def in_blocks(values: np.ndarray, bounds: np.ndarray, width: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of ``width`` values that do not cross bounds, their lengths, and each value's cell."""
+def in_blocks(values: np.ndarray, bounds: np.ndarray, width: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of ``width`` values that do not cross bounds, their lengths, each value's cell, and the first row of each text with values."""
     sizes = np.diff(bounds)
     blocks = -(-sizes // width)
     first = np.cumsum(blocks) - blocks
@@ -132,7 +188,7 @@ def in_blocks(values: np.ndarray, bounds: np.ndarray, width: int = BLOCK) -> tup
     rows = int(blocks.sum())
     out = np.zeros(rows * width)
     out[cells] = values
-    return out.reshape(rows, width), np.bincount(cells // width, minlength=rows), cells
+    return out.reshape(rows, width), np.bincount(cells // width, minlength=rows), cells, first[blocks > 0]
 
 
 def _emission(own: np.ndarray, before: np.ndarray, after: np.ndarray, words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -181,8 +237,8 @@ class Scorer:
         if not len(codes):
             return np.zeros(0), bounds
         own, before, after = self.known(words.to_numpy(zero_copy_only=False)).T
-        rows, lengths, cells = in_blocks(_emission(own, before, after, codes, bounds), bounds)
-        p, _ = marginals(rows, lengths, self.model.moves)
+        rows, lengths, cells, first = in_blocks(_emission(own, before, after, codes, bounds), bounds)
+        p, _ = marginals(rows, lengths, self.model.moves, first)
         return p.ravel()[cells], bounds
 
     def documents(self, p: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -230,8 +286,8 @@ def fit_chain(blocks: list[tuple[list[str], list[int]]], rounds: int = ROUNDS) -
     past = [np.full_like(weights, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
     for _ in range(rounds):
         score = _emission(weights[own].sum(axis=1) + bias, weights[before], weights[after], words, bounds)
-        rows, lengths, cells = in_blocks(score, bounds)
-        p, expected = marginals(rows, lengths, moves)
+        rows, lengths, cells, first = in_blocks(score, bounds)
+        p, expected = marginals(rows, lengths, moves, first)
         miss = labels - p.ravel()[cells]
         by_word = np.bincount(words, miss, len(places))
         grad = np.bincount(own.ravel(), np.repeat(by_word, PER_WORD), len(weights))
@@ -306,10 +362,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         marked = counted.filter((ratio >= RATIO) & (g2 >= EVIDENCE))
         lexicon = {r["feature"] for r in marked.orderBy(F.desc("toxic"), "clean", "feature").limit(LEXICON).collect()}
         cut = chosen.mapInPandas(_blocks(lexicon), "toxic int, order bigint, words string, hit string")
-        blocks = []
+        blocks, names = [], {}
         for kind in (0, 1):
             for r in cut.filter(F.col("toxic") == kind).orderBy("order", "words").limit(BLOCKS).collect():
-                blocks.append((r["words"].split(" "), [int(c) for c in r["hit"]]))
+                # one string object per distinct word
+                blocks.append(([names.setdefault(w, w) for w in r["words"].split(" ")], [int(c) for c in r["hit"]]))
         if not any(any(y) for _, y in blocks):
             return None
         model = fit_chain(blocks)
