@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, quoted
 from riskloom.operators import (
+    explain,
     governance,
     grid,
+    growth,
     leaderboard as board,
     learners,
     metrics,
@@ -23,6 +25,7 @@ from riskloom.operators import (
     transforms,
     woe,
 )
+from riskloom.operators.joint import Rows
 from riskloom.plans.fixtures import (
     CATEGORICAL,
     NUMERIC,
@@ -776,6 +779,25 @@ def q_fs_extra_trees(spark, sf):
     return learners.fs_extra_trees(_train(spark, sf), PREDICTORS, "flagged", "record_id")
 
 
+def _explained(spark, sf):
+    """A boosted model of the training rows, with what it was fitted on."""
+    table, _ = learners.binned_frame(_train(spark, sf), PREDICTORS, "flagged", "record_id")
+    fit = growth.Ensemble(tuple(range(len(PREDICTORS))), Rows("fold"), 25, 3, 20, boosted=True, rate=0.2, lam=1.0)
+    return table, fit, growth.grow(table, [fit], [0.0])[0]
+
+
+@query
+def q_shap_importance(spark, sf):
+    table, fit, trees = _explained(spark, sf)
+    return explain.mean_shapley(explain.shapley_values(table, fit, trees, 0.0), PREDICTORS)
+
+
+@query
+def q_effect_direction(spark, sf):
+    table, fit, trees = _explained(spark, sf)
+    return explain.directions(explain.local_effects(table, fit, trees, 0.0, PREDICTORS))
+
+
 @query
 def q_fs_permutation(spark, sf):
     return learners.fs_permutation(_train(spark, sf), PREDICTORS, "flagged", "record_id")
