@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -13,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
@@ -198,9 +199,12 @@ def fs_gbt_splits(df: DataFrame, features: Sequence[str], target: str, **options
     )
 
 
-def binned_frame(df: DataFrame, features: Sequence[str], target: str, ident: str, bins: int = growth.BINS) -> tuple[DataFrame, dict[str, list[float]]]:
+def binned_frame(
+    df: DataFrame, features: Sequence[str], target: str, ident: str, bins: int = growth.BINS, keep: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, list[float]]]:
     """A written table of bins for ``growth``, NULL as 0, every row in the one sampling ``fold``; and the cuts by feature."""
     filled = df.select(
+        *[quoted(c) for c in keep],
         F.xxhash64(quoted(ident)).alias("key"),
         F.lit(0).alias("fold"),
         F.coalesce(quoted(target).cast("double"), F.lit(0.0)).alias("label"),
@@ -208,7 +212,7 @@ def binned_frame(df: DataFrame, features: Sequence[str], target: str, ident: str
     )
     names = [f"x{k}" for k in range(len(features))]
     edges = quantile_edges(filled, names, bins)
-    table = growth.with_bins(filled, [np.array(edges[n], float) for n in names], "key").select("label", "fold", "bins", "row_key")
+    table = growth.with_bins(filled, [np.array(edges[n], float) for n in names], "key").select(*[quoted(c) for c in keep], "label", "fold", "bins", "row_key")
     return materialise(table, "binned"), {c: edges[n] for c, n in zip(features, names)}
 
 
@@ -255,47 +259,58 @@ def positive_score(predicted: DataFrame) -> DataFrame:
 
 
 def permutation_importance(
-    model, holdout: DataFrame, features: Sequence[str], ident: str, repeats: int = 10, seed: int = 42
+    holdout: DataFrame, fit: growth.Ensemble, trees: Sequence[growth.Tree], features: Sequence[str], repeats: int = 10, seed: int = 42
 ) -> DataFrame:
     """Mean drop in AUC when a feature is shuffled, floored at 0.
 
-    ``holdout`` has (ident, label, features).  Rows get an index in hash order; a
-    repeat takes every feature's shuffled value from the row a fixed distance
-    further round that order.  That is one equi-join on a unique index per
-    repeat, all in one frame, and all (repeat, feature) AUCs come from one
-    histogram.
+    ``holdout`` has (row_key, label, bins).  Rows get an index in hash order; a repeat
+    takes every feature's shuffled bin from the row a fixed distance further round that
+    order: one equi-join on a unique index, a row per repeat whatever the number of
+    features.  A task then scores each feature's change from the trees that use it,
+    and all (repeat, feature) AUCs come from one histogram.
     """
     p = len(features)
-    base = holdout.select(
-        quoted(ident), "label", vector_to_array("features").alias("x"), hash_order(quoted(ident), seed).alias("_h")
-    )
-    rows = materialise(with_row_number(base, [F.col("_h"), quoted(ident)], "idx"), "holdout")
+    base = holdout.select("row_key", "label", "bins", hash_order(F.col("row_key"), seed).alias("_h"))
+    rows = materialise(with_row_number(base, [F.col("_h"), F.col("row_key")], "idx"), "holdout")
     n = rows.count()
     if n < 2:
         return _scores(holdout, features, [0.0] * p)
     step = max(1, (n - 1) // (repeats + 1))
     shifts = F.array(*[F.struct(F.lit(k).alias("rep"), F.lit(1 + (k * step) % (n - 1)).alias("by")) for k in range(repeats)])
-    wanted = rows.select("label", "x", "idx", F.explode(shifts).alias("s")).select(
-        "label", "x", F.col("s.rep").alias("rep"), ((F.col("idx") - 1 + F.col("s.by")) % n + 1).alias("donor")
-    )
-    donors = rows.select(F.col("idx").alias("donor"), F.col("x").alias("d"))
-    # one expression whatever the number of features
-    variants = F.transform(
-        F.sequence(F.lit(0), F.lit(p - 1)),
-        lambda j: F.struct(
-            j.alias("j"),
-            F.zip_with("x", F.transform("d", lambda d, i: F.struct(d.alias("d"), (i == j).alias("on"))), lambda x, d: F.when(d["on"], d["d"]).otherwise(x)).alias("v"),
-        ),
-    )
-    shuffled = wanted.join(donors, "donor").select("label", "rep", F.explode(variants).alias("e")).select(
-        "label", "rep", F.col("e.j").alias("j"), F.col("e.v").alias("v")
-    )
-    plain = rows.select("label", F.lit(-1).alias("rep"), F.lit(-1).alias("j"), F.col("x").alias("v"))
-    scored = positive_score(
-        model.transform(plain.unionByName(shuffled).select("label", "rep", "j", array_to_vector("v").alias("features")))
+    wanted = rows.select("label", "bins", "idx", F.explode(shifts).alias("s")).select(
+        "label", "bins", F.col("s.rep").alias("rep"), ((F.col("idx") - 1 + F.col("s.by")) % n + 1).alias("donor")
     )
-    hist = score_histogram(scored, "label", "score", ["rep", "j"])
-    table = materialise(hist, "permuted")
+    donors = rows.select(F.col("idx").alias("donor"), F.col("bins").alias("donor_bins"))
+    columns = list(fit.columns)
+    used = [[k for k, t in enumerate(trees) if (t.feature == j).any()] for j in range(p)]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = growth.bins_of(batch.select(["bins"]))[:, columns]
+            other = growth.bins_of(batch.select(["donor_bins"]).rename_columns(["bins"]))[:, columns]
+            rep = batch.column(batch.schema.get_field_index("rep")).to_numpy(zero_copy_only=False)
+            label = batch.column(batch.schema.get_field_index("label")).to_numpy(zero_copy_only=False)
+            each = np.stack([t.value[t.node(own)] for t in trees])
+            whole = each.sum(axis=0)
+            for j in range(-1, p):
+                now = whole
+                if j >= 0:
+                    changed = own.copy()
+                    changed[:, j] = other[:, j]
+                    now = whole - each[used[j]].sum(axis=0) + sum((trees[k].value[trees[k].node(changed)] for k in used[j]), np.zeros(len(own)))
+                # rounded, so that equal scores summed in another order stay equal
+                values = np.round(now / len(trees), 12)
+                here = np.ones(len(rep), bool) if j >= 0 else rep == 0
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(rep[here].astype(np.int32) if j >= 0 else np.full(here.sum(), -1, np.int32)),
+                        pa.array(np.full(here.sum(), j, np.int32)), pa.array(values[here]), pa.array(label[here]),
+                    ],
+                    names=["rep", "j", "score", "label"],
+                )
+
+    scored = wanted.join(donors, "donor").mapInArrow(score, "rep int, j int, score double, label double")
+    table = materialise(score_histogram(scored, "label", "score", ["rep", "j"]), "permuted")
     aucs = metrics_from_histogram(table, ["rep", "j"], dp=9).select("rep", "j", "roc_auc").collect()  # repeats x features
     base_auc = next((r["roc_auc"] for r in aucs if r["rep"] < 0), None) or 0.0
     drops: list[list[float]] = [[] for _ in features]
@@ -307,14 +322,18 @@ def permutation_importance(
 
 def fs_permutation(
     df: DataFrame, features: Sequence[str], target: str, ident: str, repeats: int = 10, test_share: float = 0.3,
-    seed: int = 42, **options,
+    seed: int = 42, trees: int = 200, depth: int = 8, min_leaf: int = 20, subsample: float = 0.6,
 ) -> DataFrame:
-    """Permutation importance of a forest fitted on the stratified 70% part, measured on the rest."""
-    framed = model_frame(df, features, target, keep=[ident])
-    parted = materialise(stratified_split(framed, "label", ident, test_share, seed), "split")
-    train = with_class_weight(parted.where(F.col("part") == "train"), "label")
-    model = forest(seed=seed, **options).fit(train)
-    return permutation_importance(model, parted.where(F.col("part") == "test"), features, ident, repeats, seed)
+    """Permutation importance of a balanced forest fitted on the stratified 70% part, measured on the rest."""
+    parted = stratified_split(df.withColumn("_y", F.coalesce(quoted(target).cast("double"), F.lit(0.0))), "_y", ident, test_share, seed)
+    table, _ = binned_frame(parted, features, "_y", ident, keep=["part"])
+    train = table.where(F.col("part") == "train")
+    few = max(1, round(math.sqrt(len(features))))
+    fit = growth.Ensemble(
+        tuple(range(len(features))), Rows("fold", None, _balanced(train)), trees, depth, min_leaf, bag="poisson", share=subsample, features_a_node=few, seed=seed
+    )
+    grown = growth.grow(train, [fit], [0.0])[0]
+    return permutation_importance(table.where(F.col("part") == "test"), fit, grown, features, repeats, seed)
 
 
 def score_table(

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, is_missing, quoted, ratio
 from riskloom.operators.governance import align_columns, columns_of, schema_classify
-from riskloom.operators.kernels import exact_quantiles, unpivot_typed, value_histogram, wide_aggregate
-from riskloom.sources.scratch import small_table
+from riskloom.operators.kernels import exact_quantiles, unpivot_typed, value_histogram, wide_aggregate, with_row_number
+from riskloom.sources.scratch import materialise, small_table
 
 SPEC_SCHEMA = "step string, column string, key string, num double, txt string, position int"
 
@@ -134,24 +134,27 @@ def encoding_plan(df: DataFrame, columns: Sequence[str], max_levels: int = 50) -
     )
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
-    """Sorted non-null values per column; with ``max_levels`` a column of more is refused.
+# Values of a column that may become columns of their own, or reach the driver.
+MOST_LEVELS = 1_000
 
-    With it, the row-number filter is pushed below the shuffle, so no task ever holds
-    more than max_levels + 1 values of a column.
+
+def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """Sorted non-null values per column; a column of more than ``max_levels`` is refused.
+
+    The row-number filter is pushed below the shuffle, so no task ever holds more than
+    max_levels + 1 values of a column.
     """
     if not columns:
         return {}
     w = W.partitionBy("column").orderBy("value")
     values = value_histogram(df, columns).where(F.col("value").isNotNull())
-    if max_levels is not None:
-        values = values.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_levels + 1)
+    values = values.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= max_levels + 1)
     rows = values.select("column", "value").collect()
     levels: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         levels[r["column"]].append(r["value"])
     for c, values in levels.items():
-        if max_levels is not None and len(values) > max_levels:
+        if len(values) > max_levels:
             raise ValueError(f"{c} has more than {max_levels} values; encode it by woe")
         values.sort(key=lambda v: v.encode("utf-8"))
     return levels
@@ -187,6 +190,30 @@ def ordinal(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
     return _replace(df, {c: ordinal_expr(quoted(c), v) for c, v in levels.items()})
 
 
+def ordinal_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): the place of every non-null value among its column's, from 0, in code-point order.
+
+    Any number of values: they are ranked where they are, and none reaches the driver.
+    """
+    values = value_histogram(df, columns).where(F.col("value").isNotNull()).select("column", "value")
+    ranked = with_row_number(values, [F.col("value")], "code", by=["column"])
+    return materialise(ranked.withColumn("code", F.col("code") - 1), "codes")
+
+
+def ordinal_encode(df: DataFrame, codes: DataFrame) -> DataFrame:
+    """Columns of ``codes`` (of ``ordinal_codes``) as their values' codes; NULL for NULL and unseen values.
+
+    One join per column; the planner broadcasts small code tables.
+    """
+    order = df.columns
+    for k, r in enumerate(codes.select("column").distinct().collect()):  # one row per encoded column
+        c = r["column"]
+        own = codes.where(F.col("column") == c).select(F.col("value").alias(f"_value{k}"), F.col("code").alias(f"_code{k}"))
+        df = df.join(own, quoted(c).cast("string") == F.col(f"_value{k}"), "left")
+        df = df.withColumn(c, F.col(f"_code{k}")).drop(f"_value{k}", f"_code{k}")
+    return df.select(*[quoted(c) for c in order])
+
+
 def woe_map(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """(column, key, woe) per non-null category; 0 where a class is missing.
 

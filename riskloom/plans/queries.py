@@ -558,7 +558,7 @@ def q_fe_one_hot(spark, sf):
 @query
 def q_fe_ordinal(spark, sf):
     df = risk(spark, sf, ["record_id", "cust_nation"], keep=True)
-    return transforms.ordinal(df, transforms.fit_levels(df, ["cust_nation"]))
+    return transforms.ordinal_encode(df, transforms.ordinal_codes(df, ["cust_nation"]))
 
 
 @query

@@ -49,6 +49,16 @@ def test_unseen_categories(spark):
     assert {r["c"] for r in transforms.apply_woe(new, maps, ["c"]).collect()} == {0.0, None}
 
 
+def test_many_levels(spark):
+    fit = spark.range(3000).selectExpr("concat('v', lpad(id, 5, '0')) AS c", "cast(id % 7 as string) AS d")
+    with pytest.raises(ValueError, match="more than"):
+        transforms.fit_levels(fit, ["c"])
+    codes = transforms.ordinal_codes(fit, ["c", "d"])
+    rows = [("v02999", "x", 1), (None, "6", 2), ("v00000", "0", 3), ("w", None, 4)]
+    got = transforms.ordinal_encode(spark.createDataFrame(rows, "c string, d string, code int"), codes).orderBy("code").collect()
+    assert [tuple(r) for r in got] == [(2999, None, 1), (None, 6, 2), (0, 0, 3), (None, None, 4)]
+
+
 def test_rare_merge(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 5, "rare").when(F.col("id") < 15, "edge").otherwise("big").alias("c"))
     got = {r["c"]: r["count"] for r in transforms.rare_merge(df, "c").groupBy("c").count().collect()}
