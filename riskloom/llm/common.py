@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,7 +106,22 @@ class ChunkIds:
         return b"".join([self.bytes[i] for i in self.encode(chunk, add_special_tokens=False).ids])
 
 
-_CHUNKS: dict[str, ChunkIds] = {}
+_CHUNKS: dict[str, ChunkIds | None] = {}
+
+
+def ids_by_chunks(tokenizer) -> bool:
+    """Whether ``ChunkIds`` is right for a tokenizer: it lower-cases, and takes runs of letters as pre-tokens and no white space."""
+    form = json.loads(tokenizer.to_str())
+    steps = [n["type"] for n in (form.get("normalizer") or {}).get("normalizers", [])]
+    split = (form.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and [p.get("type") for p in split] == ["Split", "ByteLevel"]
+        and split[0]["behavior"] == "Removed"
+        and split[0]["invert"]
+        and "[\\p{L}]+" in split[0]["pattern"]["Regex"]
+        and split[0]["pattern"]["Regex"].endswith("[^\\s\\p{L}\\p{N}]+")
+    )
 
 
 def steps(texts: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
@@ -124,11 +140,18 @@ def batch_ids(texts: pa.Array, tokenizer: str) -> tuple[np.ndarray, np.ndarray]:
 
     Texts are split at ASCII white space, which no special string of the tokenizer
     holds and which it drops; other white space stays in a chunk and the tokenizer
-    drops it.  Each distinct chunk of the batch is looked up once.
+    drops it.  Each distinct chunk of the batch is looked up once.  Other tokenizers
+    encode whole texts.
     """
-    chunks = _CHUNKS.get(tokenizer)
+    if tokenizer not in _CHUNKS:
+        loaded = load_tokenizer(tokenizer)
+        _CHUNKS[tokenizer] = ChunkIds(loaded) if ids_by_chunks(loaded) else None
+    chunks = _CHUNKS[tokenizer]
     if chunks is None:
-        chunks = _CHUNKS[tokenizer] = ChunkIds(load_tokenizer(tokenizer))
+        coded = load_tokenizer(tokenizer).encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        lists = [c.ids for c in coded]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+        return np.fromiter((i for x in lists for i in x), "<u4", ends[-1]), ends
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     bounds = lists.offsets.to_numpy()
     coded = lists.flatten().dictionary_encode()

@@ -2,7 +2,8 @@
 
 Texts are cut into segments.  The blended-spectrum presence kernel of two segments
 sums, over n-gram lengths 1 to ``N``, the n-grams present in both, normalised by the
-numbers present in each; n-grams are those of the landmarks' dictionary.  Landmark
+numbers of all n-grams present in each.  Only n-grams that a landmark has can be
+present in both, so their dictionary gives the whole kernel.  Landmark
 segments give a Nyström map, kernel ridge regression is fitted one-versus-rest, and
 a batch of segments is scored by two matrix products: segments x n-grams by n-grams
 x landmarks, then landmarks x languages.  A text's score is the mean over its
@@ -71,15 +72,13 @@ class Model:
     weights: np.ndarray  # landmarks x languages
 
     def presence(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Normalised presence of each dictionary n-gram in each segment."""
+        """Presence of each dictionary n-gram in each segment, over the root of all n-grams of its length present there."""
         out = np.zeros((len(texts), len(self.order)), np.float32)
         for row, codes in zip(out, texts):
             for n in range(1, N + 1):
-                found = self.place[gram_slots(codes, n)]
-                row[found[found >= 0]] = 1
-        for n in range(1, N + 1):
-            part = out[:, self.order == n]
-            out[:, self.order == n] = part / np.sqrt(np.maximum(part.sum(axis=1, keepdims=True), 1))
+                present = np.unique(gram_slots(codes, n))
+                found = self.place[present]
+                row[found[found >= 0]] = 1 / np.sqrt(max(len(present), 1))
         return out
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:

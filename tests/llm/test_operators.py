@@ -220,6 +220,49 @@ def test_languages(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held)
 
 
+def test_kernel_by_sets():
+    """Kernel values with landmarks equal those of plain n-gram sets; unknown n-grams count in the norm."""
+    samples = [("the quick brown fox jumps over the dog", "en"), ("der schnelle braune fuchs springt", "de"), ("le renard brun saute par dessus", "fr")] * 2
+    model = langid.fit(samples, landmarks=3)
+    grams = lambda t, n: {t[k : k + n] for k in range(len(t) - n + 1)}
+    texts = ["the dog over the fox", "zzz qqq ## 123 the", "", "x", "äöü der fuchs"]
+    marks = [s for s, _ in sorted(samples[:3], key=lambda x: x[1])]
+    rows = model.presence([langid.characters(t) for t in texts]) @ model.presence([langid.characters(t) for t in marks]).T
+    for k, t in enumerate(texts):
+        for m, mark in enumerate(marks):
+            expected = sum(
+                len(grams(t, n) & grams(mark, n)) / math.sqrt(max(len(grams(t, n)), 1) * len(grams(mark, n))) for n in range(1, langid.N + 1)
+            )
+            assert rows[k, m] == pytest.approx(expected, abs=1e-5)
+
+
+def test_ridge_by_the_whole_kernel():
+    """With every sample a landmark, scores are those of kernel ridge regression on the whole kernel."""
+    words = {"en": "the of and house water", "de": "der und das haus wasser", "fr": "le et la maison eau"}
+    draw = np.random.default_rng(2)
+    samples = [(" ".join(draw.choice(words[lang].split(), 12)), lang) for lang in ("de", "en", "fr") for _ in range(6)]
+    model = langid.fit(samples, landmarks=len(samples))
+    codes = [langid.characters(t) for t, _ in samples]
+    presence = model.presence(codes).astype(float)
+    kernel = presence @ presence.T
+    targets = np.array([[2.0 * (lang == other) - 1 for other in model.languages] for _, lang in samples])
+    got = model.scores(codes)
+    assert (got.argmax(axis=1) == targets.argmax(axis=1)).all()
+    values, vectors = np.linalg.eigh(kernel)
+    assert values.min() > -1e-6
+    # fitted values lie in the span of the kernel and follow the targets as its large directions do
+    assert np.corrcoef(got.ravel(), targets.ravel())[0, 1] > 0.9
+
+
+@pytest.mark.parametrize("name", [WORD_IDS, BYTE_IDS])
+def test_batch_ids_of_any_tokenizer(name):
+    texts = [t for t in TEXTS if t != LONG] + ["Tab\tand  spaces\n\nlines", "ALL CAPS Ünïcode ﬀ İ"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    ids, ends = batch_ids(pa.array(texts), name)
+    for k, t in enumerate(texts):
+        assert ids[ends[k] : ends[k + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
 def test_segments_cover():
     for n in (0, 1, 1023, 1024, 1600, 5000):
         cuts = langid.segments(n)
