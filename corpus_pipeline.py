@@ -30,13 +30,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each near-duplicate class; of rows with equal ids one stays.
+    """The document with the least id of each near-duplicate class; of rows with equal ids the one with the least hash stays.
 
     Rows with a NULL id are in no class and stay.
     """
     small_batches(spark)
     kept = minhash.near_duplicates(docs, count_links=False).filter("doc_id = class_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.filter("doc_id is not null").join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    named = docs.filter("doc_id is not null").join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    # a fixed choice, so that a task that runs again makes the same one
+    named = named.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")).select("row.*")
     return named.unionByName(docs.filter("doc_id is null"))
 
 
