@@ -791,3 +791,24 @@ put("fe_winsorise_zscore", "SELECT record_id, " + ", ".join(
     f"CASE WHEN {c} IS NOT NULL THEN {rnd(f'GREATEST(b.{c}_m - 1.5 * b.{c}_s, LEAST(b.{c}_m + 1.5 * b.{c}_s, {c}))')} END AS {c}"
     for c in ("li_qty_sum", "ord_price_gappy")) + " FROM risk_raw CROSS JOIN (SELECT " + ", ".join(
     f"AVG({c}) AS {c}_m, STDDEV_POP({c}) AS {c}_s" for c in ("li_qty_sum", "ord_price_gappy")) + " FROM risk_raw) b")
+
+_columns = ("value", "user_id")
+# five-day windows begin at whole multiples of five days since 1970
+ORACLES["psi_stream"] = f"""
+WITH cells AS ({union([f"SELECT ts, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM events WHERE ts IS NOT NULL" for c in _columns])}),
+base AS (SELECT feature, v FROM cells WHERE ts < TIMESTAMP '2024-01-06 00:00:00'),
+ranked AS (SELECT feature, v, ROW_NUMBER() OVER (PARTITION BY feature ORDER BY v) AS r, COUNT(*) OVER (PARTITION BY feature) AS n FROM base WHERE v IS NOT NULL),
+cuts AS (SELECT DISTINCT feature, v AS cut FROM ranked, range(1, 10) g(k) WHERE r = CAST(CEIL(k * n / 10.0) AS BIGINT)),
+lists AS (SELECT feature, LIST(cut) AS cuts FROM cuts GROUP BY feature),
+binned AS (SELECT ts, feature, CASE WHEN v IS NULL THEN -1 ELSE len(list_filter(cuts, lambda c: c < v)) END AS bin FROM cells JOIN lists USING (feature)),
+grid AS (SELECT feature, UNNEST(range(0, len(cuts) + 1)) AS bin FROM lists
+         UNION SELECT feature, bin FROM binned WHERE ts < TIMESTAMP '2024-01-06 00:00:00'),
+known AS (SELECT g.feature, g.bin, COUNT(b.ts) AS n_base FROM grid g LEFT JOIN binned b
+          ON b.feature = g.feature AND b.bin = g.bin AND b.ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY g.feature, g.bin),
+counts AS (SELECT make_timestamp(CAST(FLOOR(epoch(ts) / 432000) AS BIGINT) * 432000000000) AS window_start, feature, bin, COUNT(*) AS n FROM binned GROUP BY ALL),
+both_ AS (SELECT window_start, feature, bin, COALESCE(n_base, 0) AS n_base, COALESCE(n, 0) AS n
+          FROM (SELECT * FROM (SELECT DISTINCT window_start, feature FROM counts) JOIN known USING (feature))
+          FULL JOIN counts USING (window_start, feature, bin)),
+shares AS (SELECT *, (n_base + 0.5) / (SUM(n_base) OVER w + 0.5 * COUNT(*) OVER w) AS p, (n + 0.5) / (SUM(n) OVER w + 0.5 * COUNT(*) OVER w) AS q
+           FROM both_ WINDOW w AS (PARTITION BY window_start, feature))
+SELECT window_start, feature, CAST(SUM(n) AS BIGINT) AS n, {rnd("SUM((q - p) * LN(q / p))")} AS psi FROM shares GROUP BY window_start, feature"""

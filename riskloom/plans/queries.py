@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, quoted
 from riskloom.operators import (
+    curves,
     explain,
     governance,
     grid,
@@ -43,6 +44,7 @@ from riskloom.operators.kernels import union_all
 from riskloom.sources.readers import input_size, read_delimited, read_lenient, read_parquet
 from riskloom.sources.scratch import materialise, scratch_path, small_table
 from riskloom.sources.sinks import load_artifact, save_artifact, write_csv
+from riskloom.streaming import drift
 from riskloom.streaming.serve import serve_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -913,6 +915,24 @@ def q_stream_replay(spark, sf):
     return _r(spark.read.parquet(out))
 
 
+@query
+def q_psi_stream(spark, sf):
+    """Stability of five-day windows of an event stream against its first five days."""
+    events = table(spark, sf, "events").select("ts", "value", "user_id")
+    base = events.where("ts < timestamp '2024-01-06 00:00:00'")
+    cuts = drift.base_cuts(base, ["value", "user_id"])
+    source, out, marks = (scratch_path(spark, name) for name in ("source", "counts", "marks"))
+    events.write.parquet(source)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    drift.psi_stream(stream, cuts, "ts", "5 days", "40 days", out, marks).awaitTermination()
+    return drift.psi_by_window(base, drift.window_counts(spark, out), cuts)
+
+
+@query
+def q_learning_curve(spark, sf):
+    return curves.learning_curve(_model_table(spark, sf), PREDICTORS, "flagged", "sample_group", "record_id")
+
+
 def _fill_input(spark, sf):
     return risk(spark, sf, ["record_id", "li_qty_sum", "ord_price_gappy"], keep=True)
 
