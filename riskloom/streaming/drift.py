@@ -48,7 +48,8 @@ def psi_stream(
     ``watermark``: how much later than the newest row a row may come.  Rows without an
     event time are left out.
     """
-    timed = stream.where(quoted(event_time).isNotNull()).withWatermark(event_time, watermark)
+    # a watermark takes no timestamp without a time zone
+    timed = stream.withColumn(event_time, quoted(event_time).cast("timestamp")).where(quoted(event_time).isNotNull()).withWatermark(event_time, watermark)
     cells = _cells(timed, cuts, [quoted(event_time)])
     counts = cells.groupBy(F.window(quoted(event_time), window), "feature", "bin").count()
 
