@@ -773,7 +773,7 @@ def q_fs_mutual_info_knn(spark, sf):
 @query
 def q_fs_boosted(spark, sf):
     """Second-order boosting: gain, split count and cover."""
-    return learners.fs_boosted(_train(spark, sf), PREDICTORS, "flagged", "record_id")
+    return learners.fs_boosted(_train(spark, sf), PREDICTORS, "flagged", "record_id", rounds=40, rate=0.2)
 
 
 @query

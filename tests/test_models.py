@@ -113,6 +113,32 @@ def test_grid_query_runs_the_whole_catalogue(spark, monkeypatch):
     assert asked["combos"] == grid.combinations() and len(asked["combos"]) == 39
 
 
+def test_grid_search_query_ends(spark, monkeypatch):
+    """The registered query over its real sets, with small ensembles: every experiment has a rank and no error."""
+    from riskloom.plans import queries
+
+    real = grid.estimator
+    monkeypatch.setattr(grid, "estimator", lambda model_id, n, seed, **kw: real(model_id, n, seed, trees=2))
+    sets = {"FS1_All": queries.PREDICTORS, "FS2": queries.PREDICTORS[::-1], "FS3": queries.PREDICTORS[:3]}
+    rows = [(s, k, c) for s, cols in sets.items() for k, c in enumerate(cols)]
+    frame = spark.createDataFrame(rows, "feature_set string, position int, feature string")
+    monkeypatch.setattr(queries.learners, "feature_sets", lambda *a, **kw: frame)
+    found = queries.q_grid_search(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r["rank"] for r in found) == list(range(1, 3 * 39 + 1)) and not any(r["error"] for r in found)
+    by = {(r["feature_set"], r["model_id"], r["scaler"], r["imbalance"]): r["oot_roc_auc"] for r in found}
+    assert all(v == by[("FS2", *k[1:])] for k, v in by.items() if k[0] == "FS1_All")  # the same columns in another order
+    assert all(r["oot_roc_auc"] > 0.5 for r in found if r["feature_set"] == "FS1_All" and r["model_id"].startswith("LR_L2"))
+
+
+def test_a_grid_of_failures_is_raised(toy, monkeypatch):
+    def broken(*a, **kw):
+        raise RuntimeError("nothing works")
+
+    monkeypatch.setattr(grid, "estimator", broken)
+    with pytest.raises(ValueError, match="nothing works"):
+        grid.run_grid(toy, {"all": FEATURES}, "y", "split", "id", grid.combinations()[:2], folds=2)
+
+
 def test_selected_sets_query(spark):
     from riskloom.plans import queries
 

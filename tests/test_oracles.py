@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tests.check_oracles import compare, connect
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-# covered by their own tests
+# too long for the suite at this size; tests/test_models.py runs them on smaller tables or with smaller ensembles
 SLOW = {"grid_search", "feature_sets", "fs_lr_l1_cv"}
 
 
