@@ -10,6 +10,7 @@ from riskloom.functions import scalar
 from riskloom.functions.scalar import half_up, quoted
 from riskloom.operators import (
     curves,
+    descent,
     explain,
     governance,
     grid,
@@ -765,6 +766,11 @@ def q_fs_gbt_splits(spark, sf):
     return learners.fs_gbt_splits(_train(spark, sf), PREDICTORS, "flagged")
 
 
+@query
+def q_fs_lr_sgd(spark, sf):
+    return descent.fs_lr_sgd(_train(spark, sf), PREDICTORS, "flagged", "record_id")
+
+
 @query
 def q_fs_mutual_info_knn(spark, sf):
     return neighbours.mutual_information_knn(_train(spark, sf), PREDICTORS, "flagged")
