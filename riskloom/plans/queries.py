@@ -23,6 +23,7 @@ from riskloom.operators import (
     quality,
     sampling,
     selection,
+    sketches,
     stats,
     transforms,
     woe,
@@ -201,6 +202,16 @@ def q_cardinality_approx(spark, sf):
     return profile.cardinality(governance.prohibited_guard(risk(spark, sf)), exact=False)
 
 
+@query
+def q_profile_merged(spark, sf):
+    """Profile of a table that came in four parts, from the merged sketches."""
+    df = materialise(risk(spark, sf, ["record_id", *NUMERIC], keep=True))
+    path = scratch_path(spark, "sketches")
+    for k in range(4):
+        sketches.add_part(df.where(F.col("record_id") % 4 == k), path, f"p{k}", NUMERIC)
+    return sketches.merged_profile(sketches.read_parts(spark, path)).select("column", "n_rows", "n_missing", "n_unique", "mean", "std", "min", "max", "q25", "q50", "q75")
+
+
 @query
 def q_numeric_stats(spark, sf):
     return profile.numeric_stats(risk(spark, sf, ["record_id", *NUMERIC], keep=True), NUMERIC)
