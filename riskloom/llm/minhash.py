@@ -381,8 +381,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``class_id`` is the least id of the row's class; ``n_links`` counts the different
     texts of its class it is linked with directly, all of them.  NULL ids and texts without a word (NULL, empty,
     signs alone) are in no class with others: their class is their own id.  Rows with
-    equal ids are one document.  An empty table gives an empty result.  Only the id
-    and text columns are read.
+    equal ids are one document; ids are whole numbers, or text of such, and other ids
+    raise an error.  An empty table gives an empty result.  Only the id and text columns
+    are read.
     """
     return finished(lambda: _classes(docs, id_col, text_col, similarity, bands, rows, count_links), "classes")
 

@@ -231,7 +231,8 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAP
     """doc_id, piece, start, length, ids_crc32: the ids of each whole text and ``end_id``, cut at ``capacity``.
 
     Only the id and text columns are read, so other columns may have any name.  A
-    NULL or empty text is one piece of one id.
+    NULL or empty text is one piece of one id.  Document ids are whole numbers, or text
+    of such; other ids raise an error.
     """
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"

@@ -141,7 +141,8 @@ def write_token_files(
 
     Only the id and text columns are read.  A NULL or empty text is its end id
     alone.  NULL ids come first; rows with equal ids are ordered by text, and equal
-    rows are all kept.  An empty table writes an empty file set.  Byte planes are
+    rows are all kept.  Document ids are whole numbers, or text of such; other ids raise
+    an error.  An empty table writes an empty file set.  Byte planes are
     the default: repeated passages keep their alignment in them, whereas in bit
     planes eight ids share a byte.
     """

@@ -236,3 +236,20 @@ def test_variants_awkward(spark, awkward, empty):  # noqa: F811
     got = {r["word"]: r for r in variants.spelling_variants(odd.withColumn("near", odd["n"]).withColumn("root", odd["word"])).collect()}
     assert len(got) == 6 and got[None]["n_near"] == 0 and got[""]["n_near"] == 2 and got["b"]["form"] == "a"
     assert got["x" * 2999 + "y"]["root"] == "x" * 3000
+
+
+# --- ids that are no numbers
+
+
+def test_ids_of_text(spark):
+    """Operators that need whole numbers take text of such and refuse other text; the rest takes any id."""
+    from riskloom.llm import minhash, packing
+
+    rows = [("7", "one two three four five six seven"), ("8", "one two three four five six seven"), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    assert {(r["doc_id"], r["class_id"]) for r in minhash.near_duplicates(docs, count_links=False).collect()} == {(7, 7), (8, 7), (None, None)}
+    assert {r["doc_id"] for r in packing.pack_documents(docs, "word_bpe_49k.json", end_id=0).collect()} == {7, 8, None}
+    odd = spark.createDataFrame([("a7", "one two")], "doc_id string, text string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        packing.pack_documents(odd, "word_bpe_49k.json", end_id=0).collect()
+    assert [r["doc_id"] for r in periodic.periodic_runs(odd).collect()] == [r["doc_id"] for r in line_dedup.dedup_lines(odd).collect()] == ["a7"]
