@@ -202,8 +202,8 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled_ids(labels: DataFrame, label: str, per_class: int, held_out: int | None = None) -> DataFrame:
-    """doc_id and label (0 or 1) of at most ``per_class`` documents of each class, the first by a hash of the id.
+def labelled_ids(labels: DataFrame, label: str, per_class: int | None = None, held_out: int | None = None) -> DataFrame:
+    """doc_id and label (0 or 1) of all labelled documents, or of at most ``per_class`` of each class, the first by a hash of the id.
 
     A document labelled more than once has its largest label; NULL ids and labels are
     left out, and with ``held_out`` the ids of that fold.
@@ -212,5 +212,7 @@ def labelled_ids(labels: DataFrame, label: str, per_class: int, held_out: int |
     if held_out is not None:
         one = one.filter(fold("doc_id") != held_out)
     one = one.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    if per_class is None:
+        return one
     first = [one.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
     return first[0].unionByName(first[1])

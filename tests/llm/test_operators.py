@@ -344,6 +344,45 @@ def test_log_ratio_by_hand(spark):
     assert ratios[grams[0]] == pytest.approx(expected)
 
 
+def test_threshold_of_all_labelled(spark):
+    """The threshold equals a plain search over all labelled scores, whatever their number."""
+    draw = np.random.default_rng(5)
+    for n, classes in ((0, 2), (1, 2), (400, 2), (50, 1), (30_000, 2)):
+        label = draw.integers(0, classes, n)
+        score = np.round(draw.normal(size=n) + label, 3)
+        judged = spark.createDataFrame([(float(a), int(b)) for a, b in zip(score, label)], "score double, label int").repartition(3)
+        found = quality_llr.best_threshold(judged)
+        values = np.unique(score)
+        if len(set(label)) < 2 or len(values) < 2:
+            assert found == -np.inf
+            continue
+        cost = np.array([10.0 * ((score <= v) & (label == 1)).sum() + ((score > v) & (label == 0)).sum() for v in values[:-1]])
+        gap = np.where(cost == cost.min(), np.diff(values), -1)
+        at = int(np.argmax(gap))
+        assert found == (values[at] + values[at + 1]) / 2
+
+
+@pytest.mark.parametrize("at_once", [500_000, 9_000])
+def test_quality_reads_every_label(spark, monkeypatch, at_once):
+    """More trusted documents than a pass takes: all of them count as trusted, and every row once as raw."""
+    from pyspark.sql import functions as F
+
+    from riskloom.llm.common import labelled_ids
+
+    monkeypatch.setattr(quality_llr, "ROUND", at_once)
+    marks = spark.range(50_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    docs = marks.select("doc_id", F.lit("a b").alias("text"))
+    counts = quality_llr.bucket_counts(docs.union(spark.createDataFrame([(-1, "c")], docs.schema)), labelled_ids(marks, "quality"))
+    assert counts.sum(axis=0).tolist() == [150_000, 150_001]
+
+
+def test_quality_rounds_change_nothing(spark, monkeypatch):
+    docs, marks = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    whole = sorted(map(tuple, quality_llr.quality(docs, marks).collect()))
+    monkeypatch.setattr(quality_llr, "ROUND", marks.count() // 3)
+    assert sorted(map(tuple, quality_llr.quality(docs, marks).collect())) == whole
+
+
 def test_quality_awkward(awkward, empty, labels):
     rows = quality_llr.quality(awkward, labels).collect()
     assert len(rows) == awkward.count()
