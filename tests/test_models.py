@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,34 @@ def test_selected_sets_query(spark):
 
     found = {r["feature_set"] for r in queries.q_selected_sets(spark, "/root/testdata/sf0.001").select("feature_set").distinct().collect()}
     assert "Selected" in found
+
+
+def test_l1_search_shares_its_passes(spark, monkeypatch):
+    """All fits of the search are made together, and C is chosen by exact AUC of the folds."""
+    draw = np.random.default_rng(4)
+    n = 300
+    x = draw.normal(size=(n, 2))
+    y = (x[:, 0] + 2 * draw.normal(size=n) > 0).astype(int)
+    df = spark.createDataFrame([(k, float(x[k, 0]), float(x[k, 1]), int(y[k])) for k in range(n)], "id bigint, a double, b double, y int")
+    asked, real = [], learners.joint.fit_linear
+    monkeypatch.setattr(learners.joint, "fit_linear", lambda table, fits, **options: asked.append(len(fits)) or real(table, fits, **options))
+    got = learners.fs_lr_l1_cv(df, ["a", "b"], "y", "id", n_cs=5).collect()
+    assert asked == [15]
+    fold = {r["id"]: r["fold"] for r in learners.kfold_assign(df, "y", "id", 3, 42).collect()}
+    fold = np.array([fold[k] for k in range(n)])
+    z, balance = (x - x.mean(axis=0)) / x.std(axis=0), np.where(y == 1, n / (2 * y.sum()), n / (2 * (n - y.sum())))
+    cs, mean = [1e-4, 1e-2, 1.0, 1e2, 1e4], []
+    for c in cs:
+        aucs = []
+        for f in range(3):
+            inside, w = fold != f, np.zeros(3)
+            d = np.column_stack([np.ones(n), z])
+            for _ in range(3_000):  # proximal gradient
+                p = 1 / (1 + np.exp(-d[inside] @ w))
+                w = w - d[inside].T @ (balance[inside] * (p - y[inside])) / balance[inside].sum()
+                w[1:] = np.sign(w[1:]) * np.maximum(np.abs(w[1:]) - 1 / (c * (n * 2 // 3)), 0)
+            s, t = d[~inside] @ w, y[~inside]
+            pos, neg = s[t == 1], s[t == 0]
+            aucs.append(((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg)))
+        mean.append(np.mean(aucs))
+    assert {r["best_c"] for r in got} == {cs[int(np.argmax(np.round(mean, 12)))]}
