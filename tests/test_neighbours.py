@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from riskloom.operators import neighbours
 from riskloom.operators.neighbours import mutual_information_knn
 
 
@@ -47,3 +48,24 @@ def test_small_classes_and_nulls(spark):
     x = np.array([1.0, 0.0, 2.0, 5.0, 7.0, 9.0])
     assert mutual_information_knn(df, ["x"], "y", 3, dp=9).first()["mi"] == pytest.approx(brute(x, np.array([0, 0, 0, 1, 1, 2]), 3))
     assert mutual_information_knn(df.limit(0), ["x"], "y").first()["mi"] == 0.0
+
+
+def test_radii_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PLACES", 30)  # blocks of either order far smaller than a radius of the rare class
+    draw = np.random.default_rng(9)
+    n = 260
+    y = np.where(draw.random(n) < 0.04, 2, (draw.random(n) < 0.5).astype(int))
+    columns = {"smooth": draw.normal(size=n), "tied": np.floor(draw.normal(size=n) * 8) / 8, "same": np.zeros(n)}
+    rows = [tuple(float(v[j]) for v in columns.values()) + (int(y[j]),) for j in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in columns) + ", y int").repartition(3)
+    got = {r["feature"]: r["mi"] for r in mutual_information_knn(df, list(columns), "y", 5, dp=9).collect()}
+    assert got == pytest.approx({c: brute(v, y, 5) for c, v in columns.items()}, abs=1e-8)
+
+
+def test_values_sent_do_not_grow_with_neighbours(spark, monkeypatch):
+    """Beyond the ends of blocks a value is sent once, not to 2k + 1 places."""
+    monkeypatch.setattr(neighbours, "PLACES", 100)
+    ranked = spark.range(1, 1001).selectExpr("0 as column", "0 as label", "cast(id as double) as value", "1L as n", "id as idx", "5 as k")
+    radius = neighbours.neighbour_radius(ranked, 5, [[250.0, 500.0]])
+    assert radius.count() == 1000
+    assert radius.where("first <> last").count() <= 2 * 2 * 5
