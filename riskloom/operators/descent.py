@@ -27,6 +27,7 @@ from riskloom.sources.scratch import materialise, small_table
 
 SHARD_ROWS = 20_000
 MINI_BATCH = 16
+SIDE_BY_SIDE = 32  # shards a task runs at once
 
 
 def packed_shards(df: DataFrame, features: Sequence[str], target: str, ident: str, seed: int = 42) -> tuple[DataFrame, int]:
@@ -58,23 +59,39 @@ def packed_shards(df: DataFrame, features: Sequence[str], target: str, ident: st
     return materialise(rows.groupBy("shard").applyInArrow(pack, "shard bigint, rows binary"), "shards"), n
 
 
-def run_epoch(cells: np.ndarray, beta: np.ndarray, rate: float, lam: float) -> np.ndarray:
-    """One pass over rows (weight, label, features) from ``beta`` (intercept first)."""
-    beta = beta.copy()
-    had = np.zeros(len(beta) - 1)  # penalty each weight has had
+def run_epochs(shards: Sequence[np.ndarray], beta: np.ndarray, rate: float, lam: float) -> np.ndarray:
+    """One pass over the rows (weight, label, features) of each shard from ``beta`` (intercept first): a row of weights per shard.
+
+    Shards know nothing of each other; step t takes the t-th mini-batch of every shard
+    that still has one, so a step is a few array operations for all of them.
+    """
+    order = sorted(range(len(shards)), key=lambda s: -len(shards[s]))
+    sizes = np.array([len(shards[s]) for s in order])
+    steps = -(-int(sizes[0]) // MINI_BATCH)
+    # (step, row, cell, shard), so that neighbours in memory are different shards; missing rows weigh 0
+    cells = np.zeros((steps * MINI_BATCH, shards[0].shape[1], len(shards)))
+    for k, s in enumerate(order):
+        cells[: sizes[k], :, k] = shards[s]
+        cells[: sizes[k], 0, k] /= shards[s][:, 0].mean()
+    cells = cells.reshape(steps, MINI_BATCH, -1, len(shards))
+    now = np.repeat(beta[:, None], len(shards), axis=1)
+    had = np.zeros((len(beta) - 1, len(shards)))  # penalty each weight has had
     due = 0.0
-    mean = cells[:, 0].mean()
-    for at in range(0, len(cells), MINI_BATCH):
-        part = cells[at : at + MINI_BATCH]
+    for t in range(steps):
+        left = sizes - t * MINI_BATCH
+        m = int((left > 0).sum())
+        part, n = cells[t, :, :, :m], np.minimum(left[:m], MINI_BATCH)
         x = part[:, 2:]
-        miss = part[:, 0] / mean * (sigmoid(beta[0] + x @ beta[1:]) - part[:, 1])
-        beta[0] -= rate * miss.mean()
-        before = beta[1:] - rate * (x.T @ miss) / len(part)
+        miss = part[:, 0] * (sigmoid(now[0, :m] + (x * now[1:, :m]).sum(axis=1)) - part[:, 1])
+        now[0, :m] -= rate * miss.sum(axis=0) / n
+        before = now[1:, :m] - rate * (x * miss[:, None]).sum(axis=0) / n
         due += rate * lam
-        after = np.where(before > 0, np.maximum(0.0, before - (due + had)), np.minimum(0.0, before + (due - had)))
-        had += after - before
-        beta[1:] = after
-    return beta
+        after = np.where(before > 0, np.maximum(0.0, before - (due + had[:, :m])), np.minimum(0.0, before + (due - had[:, :m])))
+        had[:, :m] += after - before
+        now[1:, :m] = after
+    out = np.empty((len(shards), len(beta)))
+    out[order] = now.T
+    return out
 
 
 def fit_sgd_l1(shards: DataFrame, width: int, lam: float, epochs: int = 40, rate: float = 0.3) -> np.ndarray:
@@ -84,11 +101,11 @@ def fit_sgd_l1(shards: DataFrame, width: int, lam: float, epochs: int = 40, rate
         now, step = beta, rate / (1.0 + t)
 
         def partial(batch: pa.RecordBatch, now=now, step=step):
-            for cell in batch.column(batch.schema.get_field_index("rows")):
-                cells = np.frombuffer(cell.as_py()).reshape(-1, width + 2)
-                yield 0, len(cells) * np.append(run_epoch(cells, now, step, lam), 1.0)
+            cells = [np.frombuffer(c.as_py()).reshape(-1, width + 2) for c in batch.column(batch.schema.get_field_index("rows"))]
+            for own, after in zip(cells, run_epochs(cells, now, step, lam)):
+                yield 0, len(own) * np.append(after, 1.0)
 
-        found = summed(shards, partial)
+        found = summed(shards, partial, rows=SIDE_BY_SIDE)
         if not found:
             break
         beta = found[0][:-1] / found[0][-1]
