@@ -7,15 +7,16 @@ nested and a row's place does not depend on the others.  Every size is one more
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.functions.scalar import half_up, hash_order, quoted
+from riskloom.functions.scalar import hash_order, quoted
 from riskloom.operators import joint
-from riskloom.operators.metrics import metrics_from_histogram
+from riskloom.operators.rankings import Scores, ranking_metrics
 from riskloom.operators.transforms import fit_scaler
 from riskloom.sources.scratch import materialise, small_table
 
@@ -49,24 +50,21 @@ def learning_curve(
     fits = [joint.Linear(columns, centre, width, joint.Rows(f"s{k}"), 1.0 / (c * max(sizes[f"s{k}"], 1)), l1) for k in range(len(shares))]
     betas = joint.fit_linear(table, fits)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, label = joint.features_of(batch, columns), joint.numbers(batch, "label")
-            split = np.array(batch.column(batch.schema.get_field_index("split")).to_pylist(), object)
-            for k, (fit, beta) in enumerate(zip(fits, betas)):
-                fitted = ~np.isnan(joint.numbers(batch, f"s{k}"))
-                scores = joint.linear_scores(x, fit, beta)
-                for name in ("train", *sorted(set(split) - {train})):
-                    own = fitted if name == "train" else split == name
-                    values, at = np.unique(scores[own], return_inverse=True)
-                    pos, neg = (np.bincount(at, label[own] == y, len(values)).astype(np.int64) for y in (1, 0))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(values), k, np.int32)), pa.array([name] * len(values), pa.string()), pa.array(values), pa.array(pos), pa.array(neg)],
-                        names=["at", "split", "score", "n_pos", "n_neg"],
-                    )
+    held = table.groupBy("split").agg(F.count("*").alias("n")).collect()  # a row per split
+    splits = ["train", *sorted({r["split"] for r in held} - {train})]
 
-    found = table.mapInArrow(score, "at int, split string, score double, n_pos bigint, n_neg bigint")
-    hist = found.groupBy("at", "split", "score").agg(F.sum("n_pos").alias("n_pos"), F.sum("n_neg").alias("n_neg"))
-    measured = metrics_from_histogram(materialise(hist, "curve-scores"), ["at", "split"], dp=6)
-    points = small_table(df.sparkSession, [(k, float(s), int(sizes[f"s{k}"])) for k, s in enumerate(shares)], "at int, share double, n bigint")
-    return points.join(measured.select("at", "split", "roc_auc", "pr_auc", "ks"), "at").select("share", "n", "split", *[half_up(F.col(m), 6).alias(m) for m in ("roc_auc", "pr_auc", "ks")])
+    def scores(batch: pa.RecordBatch) -> Scores:
+        x, label = joint.features_of(batch, columns), joint.numbers(batch, "label")
+        positive, known = label == 1, (label == 0) | (label == 1)
+        split = batch.column(batch.schema.get_field_index("split"))
+        others = [pc.equal(split, name).to_numpy(zero_copy_only=False) for name in splits[1:]]
+        for k, (fit, beta) in enumerate(zip(fits, betas)):
+            found = joint.linear_scores(x, fit, beta)
+            for j, own in enumerate([~np.isnan(joint.numbers(batch, f"s{k}")), *others]):
+                own = own & known
+                yield k * len(splits) + j, found[own], positive[own]
+
+    measured = ranking_metrics(table, scores, sum(r["n"] for r in held))
+    points = [(k * len(splits) + j, float(share), int(sizes[f"s{k}"]), name) for k, share in enumerate(shares) for j, name in enumerate(splits)]
+    points = small_table(df.sparkSession, points, "at bigint, share double, n bigint, split string")
+    return points.join(measured, "at").select("share", "n", "split", "roc_auc", "pr_auc", "ks")
